@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import REGISTRY_BASE, needs_review, registry_url
 from ..functions.values import first_non_blank, non_blank
-from ..schemas import PARSED
+from ..schemas import PARSED_FIELDS
 
 FILE_KEY = ["profile_id", "dependency_root", "filename"]
-PARSED_NAMES = T.StructType.fromDDL(PARSED).names
-_FIELDS = [f for f in T.StructType.fromDDL(PARSED).fields if f.name not in FILE_KEY]
 
 
 def parsed_columns(**values: Column) -> list[Column]:
     """File key plus every PARSED column; the ones not given are NULL."""
     return [F.col(k) for k in FILE_KEY] + [
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in _FIELDS
+        values.get(name, F.lit(None)).cast(kind).alias(name)
+        for name, kind in PARSED_FIELDS.items()
+        if name not in FILE_KEY
     ]
 
 
