@@ -40,6 +40,27 @@ def after(value: Column, separator: str) -> Column:
 # --- JSON values held as VARIANT -------------------------------------------------
 
 
+# The JSON reader stops after the first value and ignores what follows it. Texts are
+# therefore read inside a wrapper whose last member is only reached by a whole text.
+
+
+def read_json(text: Column, schema: str, **options: str) -> Column:
+    """struct(doc, whole): ``doc`` of the given type, ``whole`` is NULL for broken texts.
+
+    A part of another type than the schema says is NULL and spoils nothing else.
+    """
+    wrapped = F.concat(F.lit('{"doc":'), text, F.lit(',"whole":1}'))
+    return F.from_json(wrapped, f"doc {schema}, whole INT", dict(options))
+
+
+def json_document(text: Column) -> Column:
+    """VARIANT of a whole JSON text, else NULL."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"whole"]')))
+    last = F.try_variant_get(wrapped, "$[1]", "string")
+    whole = (last == "whole") & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
+    return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
 def json_child(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.integrity import blob_is_valid, blob_path, fingerprint
 from ..functions.specs import is_network_type
-from ..functions.values import first_non_blank, json_string, non_blank
+from ..functions.values import first_non_blank, json_document, json_string, non_blank
 from .dedup import usable_status
 
 
@@ -39,7 +39,7 @@ def download_plan(artifacts: DataFrame, audited: DataFrame) -> DataFrame:
 def read_index_entries(lines: DataFrame) -> DataFrame:
     """Cache index lines ``hash<TAB>json`` -> distinct (integrity, key); bad lines go."""
     payload = F.when(F.instr("value", "\t") > 0, F.regexp_extract("value", r"^(?s)[^\t]*+\t(.*)$", 1))
-    entry = F.try_parse_json(payload)
+    entry = json_document(payload)
     return (
         lines.select(entry.alias("e"))
         .select(json_string(F.col("e"), "$.integrity").alias("integrity"), json_string(F.col("e"), "$.key").alias("key"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import REGISTRY_BASE, classify_spec, registry_url
-from ..functions.values import after, first_non_blank, json_string, json_string_map, json_truthy, non_blank
-from .npm import read_json_lock
+from ..functions.values import after, first_non_blank, json_string, json_string_map, json_truthy, non_blank, read_json
+from .npm import is_broken
 from .parsed import FILE_KEY, file_text, parsed_columns
 
 # Strings are kept (group 1); comments and commas before a closing bracket go. The
@@ -19,7 +19,7 @@ _NOT_JSON = (
     + _COMMENT
     + r")*+[}\]])"
 )
-_LOCK = "packages MAP<STRING,VARIANT>, bad STRING"
+_LOCK = "STRUCT<packages: MAP<STRING,VARIANT>>"
 _OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 
 
@@ -34,16 +34,14 @@ def parse_bun(files: DataFrame) -> DataFrame:
     texts = files.select(
         *FILE_KEY, binary.alias("binary"), F.when(~binary, strict_json(file_text())).alias("text")
     )
-    lock = texts.withColumn("lock", read_json_lock(F.col("text"), _LOCK, **_OPTIONS))
-    unreadable = F.col("lock.bad").isNotNull() & F.col("lock.packages").isNull()
-    not_object = ~F.coalesce(F.col("text").rlike(r"^\s*+\{"), F.lit(False))
+    lock = texts.withColumn("lock", read_json(F.col("text"), _LOCK, **_OPTIONS))
     file_problem = F.when(F.col("binary"), "binary lockfile cannot be read").when(
-        not_object | unreadable, "lockfile parse failed"
+        is_broken(), "lockfile parse failed"
     )
     rows = lock.select(
         *FILE_KEY,
         file_problem.alias("file_problem"),
-        F.posexplode_outer("lock.packages").alias("pos", "key", "entry"),
+        F.posexplode_outer("lock.doc.packages").alias("pos", "key", "entry"),
     ).filter(F.col("key").isNotNull() | F.col("file_problem").isNotNull())
 
     first = json_string(F.col("entry"), "$[0]")

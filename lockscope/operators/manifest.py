@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import classify_spec
-from ..functions.values import json_string
-from .npm import json_is_broken, read_json_lock
+from ..functions.values import json_string, read_json
+from .npm import is_broken
 from .parsed import FILE_KEY, file_text, parsed_columns
 
 SECTIONS = ("dependencies", "devDependencies", "optionalDependencies", "peerDependencies")
-_MANIFEST = ", ".join(f"{s} MAP<STRING,VARIANT>" for s in SECTIONS) + ", bad STRING"
+_MANIFEST = "STRUCT<" + ", ".join(f"{s}: MAP<STRING,VARIANT>" for s in SECTIONS) + ">"
 
 
 def parse_manifests(files: DataFrame) -> DataFrame:
     """PARSED rows of ``package.json`` files; unknown protocols also become issues."""
     texts = files.select(*FILE_KEY, file_text().alias("text"))
-    doc = texts.withColumn("doc", read_json_lock(F.col("text"), _MANIFEST))
-    broken = json_is_broken(F.col("text"), F.col("doc.bad"))
+    manifest = texts.withColumn("manifest", read_json(F.col("text"), _MANIFEST))
+    broken = is_broken("manifest")
     sections = F.array(*[_section(s) for s in SECTIONS])
     entries = F.filter(F.flatten(sections), lambda e: e["type"] != "registry")
-    rows = doc.select(
+    rows = manifest.select(
         *FILE_KEY, F.when(broken, True).alias("broken"), F.posexplode_outer(entries).alias("pos", "e")
     ).filter(F.col("broken") | F.col("e").isNotNull())
     spec, kind = F.col("e.spec"), F.col("e.type")
@@ -40,7 +40,7 @@ def parse_manifests(files: DataFrame) -> DataFrame:
 
 
 def _section(section: str) -> Column:
-    pairs = F.coalesce(F.map_entries(F.col(f"doc.{section}")), F.array())
+    pairs = F.coalesce(F.map_entries(F.col(f"manifest.doc.{section}")), F.array())
     named = F.transform(
         pairs,
         lambda p: F.struct(

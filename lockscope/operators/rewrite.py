@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.values import after_last, json_string, percent_encode
+from ..functions.values import after_last, json_string, percent_encode, read_json
 from .ladder import resolve_urls
-from .npm import read_json_lock
 from .parsed import FILE_KEY, file_text
 
 # A URL inside text, without the commas and brackets that may follow it.
@@ -106,9 +105,10 @@ def rewrite_json_locks(files: DataFrame, artifacts: DataFrame, base_url: str) ->
     lock = files.select(*FILE_KEY, file_text().alias("text")).select(
         *FILE_KEY,
         "text",
-        read_json_lock(F.col("text"), "packages MAP<STRING,VARIANT>, bad STRING")["packages"].alias("packages"),
-        F.from_json("text", "MAP<STRING,VARIANT>").alias("top"),
+        read_json(F.col("text"), "STRUCT<packages: MAP<STRING,VARIANT>>").alias("lock"),
+        read_json(F.col("text"), "MAP<STRING,VARIANT>")["doc"].alias("top"),
     )
+    lock = lock.withColumn("packages", F.when(F.col("lock.whole") == 1, F.col("lock.doc.packages"))).drop("lock")
 
     def entry_text(entry: Column) -> Column:
         path = entry["key"]
@@ -132,8 +132,9 @@ def rewrite_json_locks(files: DataFrame, artifacts: DataFrame, base_url: str) ->
 def rewrite_manifests(files: DataFrame, artifacts: DataFrame, base_url: str) -> DataFrame:
     """package.json: URL specifiers of six sections. Unreadable files stay as they are."""
     doc = files.select(*FILE_KEY, file_text().alias("text")).withColumn(
-        "top", F.from_json("text", "MAP<STRING,VARIANT>")
+        "read", read_json(F.col("text"), "MAP<STRING,VARIANT>")
     )
+    doc = doc.withColumn("top", F.when(F.col("read.whole") == 1, F.col("read.doc")))
 
     def member(entry: Column) -> Column:
         body = F.to_json(entry["value"])
