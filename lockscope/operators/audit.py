@@ -99,7 +99,7 @@ def import_plan(artifacts: DataFrame, covered: DataFrame, previous: DataFrame) -
     verdict = (
         F.when(~known_hash, "unverifiable")
         .when(F.coalesce("_imported", F.lit(False)) | F.coalesce("_covered", F.lit(False)), "imported")
-        .when("_failed", "failed_before")
+        .when(F.col("_failed"), "failed_before")
         .otherwise("pending")
     )
     return (
