@@ -61,24 +61,29 @@ def json_document(text: Column) -> Column:
     return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
-def json_child(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
+def json_fields(value: Column, *names: str) -> Column:
+    """struct of the named members, each still VARIANT: one look-up pass for all."""
+    return F.try_variant_get(value, "$", "struct<" + ",".join(f"`{n}`: variant" for n in names) + ">")
 
 
-def json_string(value: Column, path: str = "$") -> Column:
-    """The string at ``path``; numbers, booleans and objects give NULL."""
-    child = json_child(value, path)
-    return F.when(F.schema_of_variant(child) == "STRING", F.try_variant_get(value, path, "string"))
+def text_of(value: Column) -> Column:
+    """The string in a VARIANT; numbers, booleans and objects give NULL."""
+    return F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
+
 
+def truthy(value: Column) -> Column:
+    """True unless the VARIANT is absent, null, false, zero or empty."""
+    empty = F.to_json(value).isin("null", "false", "0", "0.0", '""', "[]", "{}")
+    return F.coalesce(~empty, F.lit(False))
 
-def json_truthy(value: Column, path: str) -> Column:
-    """True unless the value is absent, null, false, zero or empty."""
-    text = F.to_json(json_child(value, path))
-    return F.coalesce(~text.isin("null", "false", "0", "0.0", '""', "[]", "{}"), F.lit(False))
 
+def string_map(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,string>")
 
-def json_string_map(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "map<string,string>")
+
+def json_string(value: Column, path: str = "$") -> Column:
+    """The string at ``path``; other types give NULL."""
+    return text_of(F.try_variant_get(value, path, "variant"))
 
 
 # --- URL parts -------------------------------------------------------------------

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import REGISTRY_BASE, classify_spec, registry_url
-from ..functions.values import after, first_non_blank, json_string, json_string_map, json_truthy, non_blank, read_json
+from ..functions.values import (
+    after,
+    first_non_blank,
+    json_fields,
+    json_string,
+    non_blank,
+    read_json,
+    string_map,
+    text_of,
+    truthy,
+)
 from .npm import is_broken
 from .parsed import FILE_KEY, file_text, parsed_columns
 
@@ -20,6 +30,7 @@ _NOT_JSON = (
     + r")*+[}\]])"
 )
 _LOCK = "STRUCT<packages: MAP<STRING,VARIANT>>"
+_META = ("resolved", "tarball", "optional", "dependencies")
 _OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 
 
@@ -59,13 +70,13 @@ def parse_bun(files: DataFrame) -> DataFrame:
         "file_problem",
         F.coalesce(first, "key").alias("shown"),
         F.when(own, first).otherwise(F.col("key")).alias("locator"),
-        F.when(own, F.try_variant_get("entry", "$[2]", "variant")).alias("meta"),
+        F.when(own, json_fields(F.try_variant_get("entry", "$[2]", "variant"), *_META)).alias("meta"),
         F.try_element_at(digests, F.lit(-1)).alias("integrity"),
     ).withColumns(
         {
             "name": non_blank(F.regexp_extract("locator", split, 1)),
             "version": non_blank(F.regexp_extract("locator", split, 2)),
-            "origin": first_non_blank(json_string(meta, "$.resolved"), json_string(meta, "$.tarball")),
+            "origin": first_non_blank(text_of(meta["resolved"]), text_of(meta["tarball"])),
         }
     )
     shown = F.col("shown")
@@ -84,7 +95,7 @@ def parse_bun(files: DataFrame) -> DataFrame:
             type=F.col("type"),
             name=F.col("name"),
             version=F.col("version"),
-            optional=json_truthy(meta, "$.optional"),
+            optional=truthy(meta["optional"]),
             dev=F.lit(False),
             resolved_url=F.when(F.col("type") == "registry", registry_url(F.col("name"), F.col("version"))).otherwise(
                 F.coalesce(git_locator, "origin")
@@ -93,7 +104,7 @@ def parse_bun(files: DataFrame) -> DataFrame:
             source=F.coalesce(git_locator, "origin", F.lit(REGISTRY_BASE)),
             path=F.when(F.col("type") == "workspace", after(shown, "@workspace:")),
             raw_locator=F.col("key"),
-            dependencies=json_string_map(meta, "$.dependencies"),
+            dependencies=string_map(meta["dependencies"]),
             problem=F.coalesce("file_problem", F.when(bad_key, F.lit("unparseable Bun package entry"))),
         )
     )

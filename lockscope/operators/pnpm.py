@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import REGISTRY_BASE, classify_spec, registry_url, split_pnpm_locator
-from ..functions.values import after, first_non_blank, json_string, json_string_map, json_truthy, non_blank
+from ..functions.values import after, first_non_blank, json_fields, json_string, non_blank, string_map, text_of, truthy
 from .parsed import FILE_KEY, file_text, parsed_columns
 
 SECTIONS = ("packages", "snapshots", "patchedDependencies")
@@ -63,23 +63,24 @@ def parse_pnpm(files: DataFrame) -> DataFrame:
 
 
 def package_rows(entries: DataFrame) -> DataFrame:
-    value = F.col("value")
     patch = F.col("section") == "patchedDependencies"
-    fields = entries.filter(F.col("section") != "snapshots").select(
+    opened = entries.filter(F.col("section") != "snapshots").withColumn(
+        "e", json_fields(F.col("value"), "resolution", "optional", "dependencies", "path")
+    )
+    opened = opened.withColumn("r", json_fields(F.col("e.resolution"), "tarball", "directory", "type", "integrity"))
+    fields = opened.select(
         *FILE_KEY,
         "section",
         "pos",
         "locator",
         "name",
         "version",
-        json_string(value, "$.resolution.tarball").alias("tarball"),
-        json_string(value, "$.resolution.directory").alias("directory"),
-        (json_string(value, "$.resolution.type").eqNullSafe("directory")).alias("marked"),
-        json_string(value, "$.resolution.integrity").alias("integrity"),
-        json_truthy(value, "$.optional").alias("optional"),
-        json_string_map(value, "$.dependencies").alias("dependencies"),
-        F.coalesce(json_string(value, "$.path"), json_string(value)).alias("patch_path"),
-        _is_object(value).alias("is_object"),
+        *[text_of(F.col(f"r.{name}")).alias(name) for name in ("tarball", "directory", "integrity")],
+        text_of(F.col("r.type")).eqNullSafe("directory").alias("marked"),
+        truthy(F.col("e.optional")).alias("optional"),
+        string_map(F.col("e.dependencies")).alias("dependencies"),
+        F.coalesce(text_of(F.col("e.path")), text_of(F.col("value"))).alias("patch_path"),
+        _is_object(F.col("value")).alias("is_object"),
     )
     version, tarball = F.col("version"), F.col("tarball")
     has_url = non_blank(tarball).isNotNull()
@@ -121,7 +122,7 @@ def package_rows(entries: DataFrame) -> DataFrame:
 
 
 def _is_object(value: Column) -> Column:
-    return F.coalesce(F.startswith(F.to_json(value), F.lit("{")), F.lit(False))
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
 
 
 def first_snapshots(entries: DataFrame) -> DataFrame:
