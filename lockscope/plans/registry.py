@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import apply_runtime_settings
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,7 +36,11 @@ def query(sql: str | None) -> Callable:
     """Register ``fn(tables) -> DataFrame`` under its own name."""
 
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_runtime_settings(spark)
+            return fn(Tables(spark, sf_dir))
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn

@@ -11,15 +11,27 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+}
+# Read at run time, so they can also be given to a running session.
+RUNTIME_SETTINGS = {
     # JSON objects with a repeated key: the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM does not compile larger methods. Stages above this run as smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_runtime_settings(spark: SparkSession) -> None:
+    given = spark.sparkContext.getConf()
+    for key, value in RUNTIME_SETTINGS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def build_session(app: str = "lockscope", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
