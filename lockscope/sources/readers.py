@@ -49,7 +49,8 @@ def read_candidate_files(spark: SparkSession, base: str) -> DataFrame:
     """FILES rows of ``base/<profile>/<root>/<file>`` for the known file names.
 
     Names are filtered on the path, before any content is used. A root directory is
-    stored with ``__`` for ``/`` and ``root`` for the top.
+    stored with ``__`` for ``/`` and ``root`` for the top. Spark skips files whose name
+    starts with a dot, so those are stored as ``dot.npmrc`` and so on.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
     return describe_files(raw.select("path", "content"))
@@ -60,10 +61,11 @@ def describe_files(raw: DataFrame) -> DataFrame:
     pattern = r"([^/]+)/([^/]+)/([^/]+)$"
     stored = F.regexp_extract("path", pattern, 2)
     root = F.when(stored == "root", ".").otherwise(F.replace(stored, F.lit("__"), F.lit("/")))
-    return raw.filter(F.regexp_extract("path", pattern, 3).isin(*candidate_names())).select(
+    name = F.regexp_replace(F.regexp_extract("path", pattern, 3), r"^dot\.", ".")
+    return raw.filter(name.isin(*candidate_names())).select(
         F.regexp_extract("path", pattern, 1).alias("profile_id"),
         root.alias("dependency_root"),
-        F.regexp_extract("path", pattern, 3).alias("filename"),
+        name.alias("filename"),
         "content",
         F.sha2("content", 256).alias("sha256"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
