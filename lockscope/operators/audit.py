@@ -6,23 +6,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.integrity import blob_is_valid, blob_path, fingerprint
+from ..functions.integrity import blob_path, digest_of, digests_fit, fingerprint, sri_parts
 from ..functions.specs import is_network_type
 from ..functions.values import first_non_blank, json_document, json_string, non_blank
 from .dedup import usable_status
 
 
-def audit_blobs(artifacts: DataFrame, blobs: DataFrame) -> DataFrame:
-    """Artifacts with ``blob_path`` and ``valid``; blobs are (blob_path, content).
+def blob_digests(blobs: DataFrame) -> DataFrame:
+    """(blob_path, size_bytes, digest, sha256): hashed where the content is read.
 
-    The content is hashed in the row that holds it, after a join on the short path; only
-    blobs that some artifact names are moved.
+    ``digest`` uses the algorithm in the path. An artifact with a usable integrity string
+    is stored under that string's algorithm, so these two hashes answer every check and
+    the content itself is never shuffled.
     """
+    algorithm = F.regexp_extract("blob_path", "^blobs/([^/]+)/", 1)
+    sha256 = F.sha2("content", 256)
+    return blobs.select(
+        "blob_path",
+        F.octet_length("content").alias("size_bytes"),
+        F.when(algorithm != "sha256", digest_of(F.col("content"), algorithm)).otherwise(sha256).alias("digest"),
+        sha256.alias("sha256"),
+    )
+
+
+def audit_blobs(artifacts: DataFrame, blobs: DataFrame) -> DataFrame:
+    """Artifacts with ``blob_path`` and ``valid``; blobs are (blob_path, content)."""
     located = artifacts.withColumn(
         "blob_path", blob_path(F.col("artifact_id"), F.col("integrity"), F.col("content_sha256"))
     )
-    joined = located.join(blobs.select("blob_path", "content"), "blob_path", "left")
-    verdict = blob_is_valid(F.col("content"), F.col("integrity"), F.col("content_sha256"))
+    hashed = blob_digests(blobs).withColumnsRenamed({"size_bytes": "_size", "digest": "_digest", "sha256": "_sha256"})
+    joined = located.join(hashed, "blob_path", "left")
+    sri_ok = F.col("_digest") == sri_parts(F.col("integrity"))["digest"]
+    verdict = digests_fit(F.col("_size"), sri_ok, F.col("_sha256"), F.col("integrity"), F.col("content_sha256"))
     return joined.select(*artifacts.columns, "blob_path", verdict.alias("valid"))
 
 

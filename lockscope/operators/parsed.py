@@ -21,9 +21,9 @@ def parsed_columns(**values: Column) -> list[Column]:
 
 
 def file_text(content: Column | str = "content") -> Column:
-    """Lock text with Unix line ends; bytes are read as UTF-8."""
+    """File content as text; bytes are read as UTF-8."""
     column = F.col(content) if isinstance(content, str) else content
-    return F.regexp_replace(column.cast("string"), "\r\n?", "\n")
+    return column.cast("string")
 
 
 def reference_rows(parsed: DataFrame) -> DataFrame:

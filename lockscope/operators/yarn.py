@@ -37,7 +37,7 @@ def parse_yarn(files: DataFrame) -> DataFrame:
     it, so the text is cut there and no window over lines is needed. Only lines at the
     first indent are fields of the stanza; deeper ones belong to its dependency lists.
     """
-    texts = files.select(*FILE_KEY, file_text().alias("text"))
+    texts = files.select(*FILE_KEY, F.regexp_replace(file_text(), "\r\n?", "\n").alias("text"))
     stanzas = texts.select(*FILE_KEY, F.posexplode(F.split("text", r"\n(?=[^ \n])")).alias("stanza", "piece"))
     lines = F.filter(F.split("piece", "\n"), lambda x: strip(x) != "")
     head = F.rtrim(F.get(F.col("lines"), 0))
