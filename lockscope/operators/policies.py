@@ -14,6 +14,7 @@ from ..functions.choices import policy_version
 from ..functions.values import non_blank
 from ..functions.versions import host_allows
 from .dedup import usable_status
+from .results import lookup
 from .shape import number_rows
 
 # Artifacts per import command.
@@ -56,6 +57,24 @@ def policy_artifacts(refs: DataFrame, policies: DataFrame, statuses: DataFrame)
     )
 
 
+def cache_roots(roots: DataFrame, warmups: DataFrame, base: str) -> DataFrame:
+    """Roots with the cache directory of their policy.
+
+    The first warm-up record (by ``ord``) with the same manager and variant, and the same
+    version where the root has one; else the default directory below ``base``.
+    """
+    usable = warmups.filter(non_blank(F.col("cache_root")).isNotNull())
+    policy = ["package_manager", "variant"]
+    version = non_blank(F.col("version"))
+    exact = lookup(roots, usable.withColumnRenamed("cache_root", "_exact"), [*policy, "version"], "ord", ["_exact"])
+    both = lookup(exact, usable.withColumnRenamed("cache_root", "_any"), policy, "ord", ["_any"])
+    yarn = (F.col("package_manager") == "yarn") & non_blank(F.col("variant")).isNotNull()
+    folder = F.when(yarn, F.concat(F.lit("yarn-"), "variant")).otherwise(F.col("package_manager"))
+    default = F.concat_ws("/", F.lit(base), folder, F.coalesce(version, F.lit("unknown")))
+    chosen = F.when(version.isNotNull(), F.col("_exact")).otherwise(F.col("_any"))
+    return both.withColumn("cache_root", F.coalesce(chosen, default)).drop("_exact", "_any")
+
+
 def assign_batches(artifacts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Adds ``batch_no``: fixed-size batches per key in order (first one numeric)."""
     size = F.lit(DEFAULT_BATCH_SIZE)

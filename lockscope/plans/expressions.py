@@ -18,17 +18,16 @@ from ..functions.choices import (
 )
 from ..functions.integrity import blob_is_valid, blob_path, metadata_name, sri_matches
 from ..functions.paths import (
-    is_commit,
     join_workdir,
     normal_path,
     option_workdir,
-    profile_key,
     relative_workdir,
     root_directory_name,
     safe_profile_id,
 )
 from ..functions.specs import classify_spec, git_archive, git_repository, registry_url, split_package_manager
 from ..functions.versions import host_allows, version_matches
+from ..operators.profiles import index_profiles
 from ..operators.reports import distribution
 from ..sources.readers import candidate_names, describe_files, profile_id_problems
 from .registry import Tables, fill, pick, query
@@ -369,7 +368,7 @@ def lock_changed(t: Tables) -> DataFrame:
                       CASE WHEN c_custkey % 10 = 0 THEN 'short' ELSE sha1(CAST(c_custkey // 2 AS VARCHAR)) END AS commit,
                       c_custkey, c_mktsegment FROM customer)
     SELECT owner || '__' || repo || '.' || substr(commit, 1, 8) AS profile_key,
-           arg_max(c_mktsegment, c_custkey) AS language, max(c_custkey) AS ord, count(*) AS definitions
+           arg_max(c_mktsegment, c_custkey) AS language, max(c_custkey) AS ord
     FROM c WHERE length(commit) = 40 GROUP BY 1
     """
 )
@@ -382,12 +381,7 @@ def profile_index(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("ord"),
         F.col("c_mktsegment").alias("language"),
     )
-    keyed = rows.filter(is_commit(F.col("commit"))).withColumn(
-        "profile_key", profile_key(F.col("owner"), F.col("repo"), F.col("commit"))
-    )
-    return keyed.groupBy("profile_key").agg(
-        F.max_by("language", "ord").alias("language"), F.max("ord").alias("ord"), F.count("*").alias("definitions")
-    )
+    return index_profiles(rows).select("profile_key", "language", "ord")
 
 
 @query(

@@ -16,7 +16,8 @@ from ..operators.audit import (
 )
 from ..operators.ladder import best_artifacts, resolve_urls
 from ..operators.locks import match_resolutions
-from ..operators.policies import assign_batches, policy_artifacts, root_policies
+from ..operators.policies import assign_batches, cache_roots, policy_artifacts, root_policies
+from ..operators.profiles import index_profiles, match_profiles
 from ..operators.results import add_unlisted, flag_roots, lookup, unmatched
 from ..operators.rewrite import rewrite_json_locks, rewrite_manifests, rewrite_text_locks
 from .registry import Tables, as_files, fill, pick, query
@@ -484,3 +485,60 @@ def batch_assign_hot(t: Tables) -> DataFrame:
         F.lit("pnpm").alias("package_manager"),
     )
     return assign_batches(lines, ["flag"], ["k", "l_partkey", "l_suppkey"]).drop("package_manager")
+
+
+@query(
+    """
+    WITH w AS (SELECT o_orderkey AS ord, o_orderpriority AS m, CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderstatus END AS v,
+                      CAST(year(o_orderdate) AS VARCHAR) AS ver, 'cache/' || o_orderkey AS root FROM orders WHERE o_totalprice > 300000),
+    e AS (SELECT m, v, ver, arg_min(root, ord) AS root FROM w GROUP BY ALL),
+    a AS (SELECT m, v, arg_min(root, ord) AS root FROM w GROUP BY ALL),
+    r AS (SELECT o_orderkey AS k, CASE WHEN o_custkey % 4 = 0 THEN 'yarn' ELSE o_orderpriority END AS m,
+                 CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_orderstatus END AS v,
+                 CASE WHEN o_custkey % 3 <> 0 THEN CAST(year(o_orderdate) + o_custkey % 2 AS VARCHAR) ELSE '' END AS ver FROM orders)
+    SELECT r.k, coalesce(CASE WHEN r.ver <> '' THEN e.root ELSE a.root END,
+                         'base/' || CASE WHEN r.m = 'yarn' AND r.v IS NOT NULL THEN 'yarn-' || r.v ELSE r.m END || '/' ||
+                         CASE WHEN r.ver = '' THEN 'unknown' ELSE r.ver END) AS cache_root
+    FROM r LEFT JOIN e ON e.m = r.m AND e.v IS NOT DISTINCT FROM r.v AND e.ver = r.ver
+           LEFT JOIN a ON a.m = r.m AND a.v IS NOT DISTINCT FROM r.v
+    """
+)
+def cache_root_lookup(t: Tables) -> DataFrame:
+    year = F.year("o_orderdate")
+    variant = F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("variant")
+    warmups = t.orders.filter(F.col("o_totalprice") > 300000).select(
+        F.col("o_orderkey").alias("ord"),
+        F.col("o_orderpriority").alias("package_manager"),
+        variant,
+        year.cast("string").alias("version"),
+        fill("cache/<k>", k="o_orderkey").alias("cache_root"),
+    )
+    customer = F.col("o_custkey")
+    roots = t.orders.select(
+        F.col("o_orderkey").alias("k"),
+        F.when(customer % 4 == 0, "yarn").otherwise(F.col("o_orderpriority")).alias("package_manager"),
+        variant,
+        F.when(customer % 3 != 0, (year + customer % 2).cast("string")).otherwise("").alias("version"),
+    )
+    return cache_roots(roots, warmups, "base").select("k", "cache_root")
+
+
+@query(
+    """
+    WITH c AS (SELECT 'swesmith/o' || c_custkey || '__r.' || substr(sha1(c_name), 1, 8) AS profile_id, c_nationkey AS n, c_mktsegment AS s FROM customer)
+    SELECT profile_id, CASE WHEN n % 4 <> 0 THEN s END AS language,
+           CASE WHEN n % 4 = 0 THEN 'profile not found in official source' END AS error FROM c
+    """
+)
+def profile_match(t: Tables) -> DataFrame:
+    rows = t.customer.select(
+        fill("o<k>", k="c_custkey").alias("owner"),
+        F.lit("r").alias("repo"),
+        F.sha1("c_name").alias("commit"),
+        F.col("c_mktsegment").alias("language"),
+        F.col("c_custkey").alias("ord"),
+        F.col("c_nationkey").alias("n"),
+    )
+    ids = rows.select(fill("swesmith/<o>__r.<c>", o="owner", c=F.substring("commit", 1, 8)).alias("profile_id"))
+    found, failures = match_profiles(ids, index_profiles(rows.filter(F.col("n") % 4 != 0).drop("n")))
+    return found.select("profile_id", "language").unionByName(failures, allowMissingColumns=True)

@@ -20,6 +20,7 @@ from ..operators.locks import parse_locks
 from ..operators.manifest import parse_manifests
 from ..operators.npm import parse_npm
 from ..operators.parsed import issue_rows, reference_rows
+from ..operators.profiles import evidence_rows
 from ..operators.pnpm import attach_snapshots, package_rows, parse_pnpm, pnpm_entries
 from ..operators.yarn import parse_yarn
 from .registry import Tables, as_files, fill, pick, query
@@ -437,6 +438,34 @@ def explicit_versions(t: Tables) -> DataFrame:
     return tool_versions(_instructions(t)).select("profile_id", "tool", "version")
 
 
+@query(
+    """
+    WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, c_custkey % 7 + 14 AS m FROM customer),
+    v AS (SELECT * FROM (VALUES
+      (NULL, 'node_image', 2, 'node:<m>.<n>-slim'),
+      (NULL, 'node_image', 16, 'node:<n>'),
+      (NULL, 'package_manager_version', 4, 'npm install -g pnpm@9.<n>.0'),
+      (NULL, 'package_manager_version', 4, 'corepack prepare yarn@4.<m>.1'),
+      (NULL, 'package_manager_version', 5, 'yarn set version 3.<n>'),
+      ('pkg<n>', 'install_command', 8, 'pnpm install # note --frozen-lockfile'),
+      ('pkg<n>/client<k>', 'install_command', 12, 'npm ci'),
+      ('side', 'install_command', 12, 'npm --prefix /mnt/side i'),
+      ('pkg<n>', 'install_command', 12, 'make bootstrap'),
+      ('pkg<n>/web', 'install_command', 13, 'pnpm --filter ./web... install'),
+      ('.', 'package_json_package_manager', NULL, 'pnpm@9.<n>.1'),
+      ('.', 'dependency_file', NULL, 'package.json')) x(root, kind, line, value))
+    SELECT CAST(k AS VARCHAR) AS profile_id,
+           replace(replace(v.root, '<n>', CAST(n AS VARCHAR)), '<k>', CAST(k AS VARCHAR)) AS dependency_root, v.kind, v.line,
+           replace(replace(v.value, '<n>', CAST(n AS VARCHAR)), '<m>', CAST(m AS VARCHAR)) AS value FROM c, v
+    """
+)
+def evidence_union(t: Tables) -> DataFrame:
+    instructions = _instructions(t)
+    manifest = fill('{"packageManager":"pnpm@9.<n>.1+sha1.x"}', n="c_nationkey")
+    files = as_files(t.customer, F.col("c_custkey"), "package.json", manifest)
+    return evidence_rows(instructions, found_installs(instructions), files)
+
+
 @query(
     """
     WITH u AS (SELECT page_id AS k, url AS u FROM pages)

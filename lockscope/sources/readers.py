@@ -48,11 +48,16 @@ def candidate_names() -> list[str]:
 def read_candidate_files(spark: SparkSession, base: str) -> DataFrame:
     """FILES rows of ``base/<profile>/<root>/<file>`` for the known file names.
 
-    Names are filtered on the path, before any content is used. A root directory is
-    stored with ``__`` for ``/`` and ``root`` for the top. Spark skips files whose name
-    starts with a dot, so those are stored as ``dot.npmrc`` and so on.
+    Other names are left out when the files are listed. A root directory is with ``__`` for ``/`` and ``root`` for the top. Spark skips files whose name starts
+    with a dot, so those are stored as ``dot.npmrc`` and so on.
     """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    stored = [f"dot{n}" if n.startswith(".") else n for n in candidate_names()]
+    raw = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "{" + ",".join(stored) + "}")
+        .load(base)
+    )
     return describe_files(raw.select("path", "content"))
 
 
