@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.specs import is_network_type
 from ..functions.values import non_blank
-from ..functions.verdicts import STATUSES, status_of_severity, status_severity
+from ..functions.verdicts import SIGN_GROUPS, STATUSES, sign_flags, status_of_severity, status_severity
 from .dedup import USABLE
 from .shape import one_row
 
@@ -40,6 +40,16 @@ def missed_artifacts(statuses: DataFrame) -> DataFrame:
     )
 
 
+def root_log_flags(logs: DataFrame, scratch_prefixes: Sequence[str] = ()) -> DataFrame:
+    """Sign flags per root from logs (profile_id, dependency_root, phase, stream, text).
+
+    Each log is searched where it is read; only booleans are shuffled.
+    """
+    flags = sign_flags(F.lower("text"), scratch_prefixes)
+    combined = [F.bool_or(name).alias(name) for name in SIGN_GROUPS]
+    return logs.select(*ROOT_KEY, *flags).groupBy(*ROOT_KEY).agg(*combined)
+
+
 def profile_status(profiles: DataFrame, root_results: DataFrame) -> DataFrame:
     """Success only when every root succeeded; else the worst status; no root: failure."""
     worst = root_results.groupBy("profile_id").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.verdicts import (
+    Signs,
     external_category,
     failure_category,
     install_status,
@@ -21,6 +22,7 @@ from ..operators.results import (
     offline_summary as offline,
     profile_status,
     remaining_ids,
+    root_log_flags,
     status_counts as counts_of,
 )
 from ..operators.shape import one_row
@@ -66,7 +68,7 @@ def log_class(t: Tables) -> DataFrame:
     key = F.col("doc_id")
     exit_code = F.when(key % 9 == 0, 0).otherwise(1)
     outbound = F.when(key % 5 == 0, 3).otherwise(0)
-    return _logs(t).select("doc_id", install_status(exit_code, F.col("text"), outbound).alias("status"))
+    return _logs(t).select("doc_id", install_status(exit_code, Signs(F.col("text")), outbound).alias("status"))
 
 
 _FAILURE_CASE = """
@@ -84,7 +86,7 @@ def _failure_rows(t: Tables) -> DataFrame:
     case = F.col("doc_id") % 8
     reason = F.when(case == 1, "Resolution record unavailable or manual review")
     verdict = failure_category(
-        F.col("text"),
+        Signs(F.col("text")),
         reason,
         F.when(case == 2, 124),
         F.lit(None).cast("int"),
@@ -112,6 +114,43 @@ def failure_class(t: Tables) -> DataFrame:
     return _failure_rows(t)
 
 
+_ROOT_SEEDS = """
+    s AS (SELECT source AS profile_id, lang AS dependency_root, list(DISTINCT doc_id % 14) AS s FROM documents GROUP BY 1, 2)
+"""
+
+
+@query(
+    f"""
+    WITH {_ROOT_SEEDS}
+    SELECT profile_id, dependency_root,
+           CASE WHEN list_has_any(s, [4, 5]) THEN 'other_failure'
+                WHEN list_has_any(s, [8, 9]) THEN 'native_or_system_dependency_failure'
+                WHEN list_has_any(s, [6, 7, 10]) THEN 'external_artifact_miss' ELSE 'other_failure' END AS status,
+           CASE WHEN list_contains(s, 0) THEN 'toolchain_bootstrap' WHEN list_contains(s, 1) THEN 'install_timeout'
+                WHEN list_has_any(s, [2, 3]) THEN 'lockfile_or_peer_resolution'
+                WHEN list_has_any(s, [4, 5]) THEN 'project_snapshot_incomplete'
+                WHEN list_has_any(s, [6, 7]) THEN 'local_artifact_integrity_or_cache'
+                WHEN list_contains(s, 8) THEN 'node_engine_or_runtime' ELSE 'project_install_failure' END AS category
+    FROM s
+    """
+)
+def root_log_class(t: Tables) -> DataFrame:
+    """Many logs per root: verdicts from combined flags, without moving a text."""
+    text = F.concat_ws("\n", "text", pick(F.col("doc_id"), *_SEEDS))
+    logs = t.spread("documents", "doc_id", "text", "source", "lang").select(
+        F.col("source").alias("profile_id"), F.col("lang").alias("dependency_root"), text.alias("text")
+    )
+    none, failed = F.lit(None), F.lit("other_failure")
+    signs = Signs()
+    category = failure_category(signs, none.cast("string"), none.cast("int"), none.cast("int"), failed, failed)
+    return root_log_flags(logs).select(
+        "profile_id",
+        "dependency_root",
+        install_status(F.lit(1), signs, F.lit(0)).alias("status"),
+        category["category"].alias("category"),
+    )
+
+
 @query(f"SELECT {_FAILURE_CASE} AS category, count(*) AS count FROM documents GROUP BY 1")
 def failure_counts(t: Tables) -> DataFrame:
     return category_counts(_failure_rows(t))
@@ -128,7 +167,7 @@ def failure_counts(t: Tables) -> DataFrame:
 )
 def external_class(t: Tables) -> DataFrame:
     case = F.col("doc_id") % 10
-    verdict = external_category(F.col("text"), case == 1, case == 2, case == 3)
+    verdict = external_category(Signs(F.col("text")), case == 1, case == 2, case == 3)
     return _logs(t).select("doc_id", verdict["category"].alias("category"))
 
 
