@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.specs import REGISTRY_BASE, classify_spec, registry_url, split_pnpm_locator
 from ..functions.values import after, first_non_blank, json_fields, json_string, non_blank, string_map, text_of, truthy
@@ -62,7 +62,12 @@ def parse_pnpm(files: DataFrame) -> DataFrame:
     return package_rows(pnpm_entries(files))
 
 
-def package_rows(entries: DataFrame) -> DataFrame:
+def parse_pnpm_with_snapshots(files: DataFrame) -> DataFrame:
+    """PARSED rows plus ``snapshot_locator`` and ``snapshot`` (JSON) where one exists."""
+    return package_rows(with_snapshots(pnpm_entries(files)), "snapshot_locator", "snapshot")
+
+
+def package_rows(entries: DataFrame, *extra: str) -> DataFrame:
     patch = F.col("section") == "patchedDependencies"
     opened = entries.filter(F.col("section") != "snapshots").withColumn(
         "e", json_fields(F.col("value"), "resolution", "optional", "dependencies", "path")
@@ -81,6 +86,7 @@ def package_rows(entries: DataFrame) -> DataFrame:
         string_map(F.col("e.dependencies")).alias("dependencies"),
         F.coalesce(text_of(F.col("e.path")), text_of(F.col("value"))).alias("patch_path"),
         _is_object(F.col("value")).alias("is_object"),
+        *extra,
     )
     version, tarball = F.col("version"), F.col("tarball")
     has_url = non_blank(tarball).isNotNull()
@@ -117,7 +123,8 @@ def package_rows(entries: DataFrame) -> DataFrame:
             raw_locator=F.col("locator"),
             dependencies=F.col("dependencies"),
             problem=F.col("problem"),
-        )
+        ),
+        *extra,
     )
 
 
@@ -125,23 +132,25 @@ def _is_object(value: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
 
 
-def first_snapshots(entries: DataFrame) -> DataFrame:
-    """First snapshot per (file, name, version); later peers of the same version lose."""
-    usable = entries.filter(
+def with_snapshots(entries: DataFrame) -> DataFrame:
+    """Entries with the first snapshot of the same (file, name, version); later peers lose.
+
+    A window over one package of one file, so every file is read once and no group is
+    larger than its file.
+    """
+    usable = (
         (F.col("section") == "snapshots")
         & non_blank(F.col("name")).isNotNull()
         & non_blank(F.col("version")).isNotNull()
         & _is_object(F.col("value"))
     )
-    chosen = F.struct("locator", F.to_json("value").alias("snapshot"))
+    same = Window.partitionBy(*FILE_KEY, "name", "version")
+    shown = F.struct("locator", F.to_json("value").alias("json"))
+    first = F.min_by(F.when(usable, shown), F.when(usable, F.col("pos"))).over(same)
+    attached = (F.col("section") == "packages") & F.col("_first").isNotNull()
     return (
-        usable.groupBy(*FILE_KEY, "name", "version")
-        .agg(F.min_by(chosen, "pos").alias("first"))
-        .select(*FILE_KEY, "name", "version", "first.locator", "first.snapshot")
-        .withColumnRenamed("locator", "snapshot_locator")
+        entries.withColumn("_first", first)
+        .withColumn("snapshot_locator", F.when(attached, F.col("_first.locator")))
+        .withColumn("snapshot", F.when(attached, F.col("_first.json")))
+        .drop("_first")
     )
-
-
-def attach_snapshots(references: DataFrame, entries: DataFrame) -> DataFrame:
-    """References with ``snapshot_locator`` and ``snapshot`` (JSON) where one exists."""
-    return references.join(first_snapshots(entries), [*FILE_KEY, "name", "version"], "left")

@@ -21,7 +21,7 @@ from ..operators.manifest import parse_manifests
 from ..operators.npm import parse_npm
 from ..operators.parsed import issue_rows, reference_rows
 from ..operators.profiles import evidence_rows
-from ..operators.pnpm import attach_snapshots, package_rows, parse_pnpm, pnpm_entries
+from ..operators.pnpm import parse_pnpm, parse_pnpm_with_snapshots
 from ..operators.yarn import parse_yarn
 from .registry import Tables, as_files, fill, pick, query
 
@@ -237,9 +237,8 @@ def lock_pnpm(t: Tables) -> DataFrame:
     """
 )
 def snapshot_attach(t: Tables) -> DataFrame:
-    entries = pnpm_entries(_pnpm_files(t))
-    references = reference_rows(package_rows(entries))
-    return attach_snapshots(references, entries).select("profile_id", "name", "snapshot_locator", "snapshot")
+    references = reference_rows(parse_pnpm_with_snapshots(_pnpm_files(t)))
+    return references.select("profile_id", "name", "snapshot_locator", "snapshot")
 
 
 _BUN = (

@@ -16,7 +16,7 @@ from lockscope.operators.locks import match_resolutions, parse_roots
 from lockscope.operators.manifest import parse_manifests
 from lockscope.operators.npm import parse_npm
 from lockscope.operators.parsed import issue_rows, reference_rows
-from lockscope.operators.pnpm import attach_snapshots, package_rows, parse_pnpm, pnpm_entries
+from lockscope.operators.pnpm import parse_pnpm, parse_pnpm_with_snapshots
 from lockscope.operators.yarn import parse_yarn
 
 
@@ -110,15 +110,14 @@ def test_pnpm_packages_patches_snapshots(files):
         "patchedDependencies:\n  foo@1.2.3: patches/foo.patch\n"
         "snapshots:\n  foo@1.2.3(a@1):\n    dependencies: {a: '1'}\n  foo@1.2.3(a@2):\n    dependencies: {a: '2'}\n"
     )
-    entries = pnpm_entries(files("pnpm-lock.yaml", text, "a: ["))
-    parsed = package_rows(entries)
+    parsed = parse_pnpm_with_snapshots(files("pnpm-lock.yaml", text, "a: ["))
     found = {(r.profile_id, r.raw_locator, r.problem): r for r in parsed.collect()}
     assert found["p0", "/bar@1.0.0(peer@2.0.0)", None].version == "1.0.0"
     assert found["p0", "web@https://x.example/w.tgz", None].type == "http_tarball"
     assert found["p0", "dir@file:../d", None].path == "../d"
     assert found["p0", "foo@1.2.3", "patched dependency"].path == "patches/foo.patch"
     assert ("p1", None, "lockfile parse failed") in found
-    attached = attach_snapshots(reference_rows(parsed), entries).filter("snapshot is not null").collect()
+    attached = reference_rows(parsed).filter("snapshot is not null").collect()
     assert [(r.name, r.snapshot_locator) for r in attached] == [("foo", "foo@1.2.3(a@1)")]
 
 
