@@ -454,7 +454,7 @@ def explicit_versions(t: Tables) -> DataFrame:
       ('.', 'package_json_package_manager', NULL, 'pnpm@9.<n>.1'),
       ('.', 'dependency_file', NULL, 'package.json')) x(root, kind, line, value))
     SELECT CAST(k AS VARCHAR) AS profile_id,
-           replace(replace(v.root, '<n>', CAST(n AS VARCHAR)), '<k>', CAST(k AS VARCHAR)) AS dependency_root, v.kind, v.line,
+           replace(replace(v.root, '<n>', CAST(n AS VARCHAR)), '<k>', CAST(k AS VARCHAR)) AS dependency_root, v.kind, coalesce(v.line, 0) AS line,
            replace(replace(v.value, '<n>', CAST(n AS VARCHAR)), '<m>', CAST(m AS VARCHAR)) AS value FROM c, v
     """
 )
@@ -462,7 +462,8 @@ def evidence_union(t: Tables) -> DataFrame:
     instructions = _instructions(t)
     manifest = fill('{"packageManager":"pnpm@9.<n>.1+sha1.x"}', n="c_nationkey")
     files = as_files(t.customer, F.col("c_custkey"), "package.json", manifest)
-    return evidence_rows(instructions, found_installs(instructions), files)
+    evidence = evidence_rows(instructions, found_installs(instructions), files)
+    return evidence.withColumn("line", F.coalesce("line", F.lit(0)))
 
 
 @query(

@@ -208,14 +208,15 @@ def request_log(t: Tables) -> DataFrame:
     """
     WITH m AS (SELECT o_orderpriority AS metric, year(o_orderdate) * 12 + month(o_orderdate) AS run_no, count(*) AS value FROM orders GROUP BY 1, 2),
     l AS (SELECT *, lag(value) OVER w AS previous, first_value(value) OVER w AS first FROM m WINDOW w AS (PARTITION BY metric ORDER BY run_no))
-    SELECT metric, run_no, value, previous, first, value - previous AS absolute_change,
+    SELECT metric, run_no, value, previous::DOUBLE AS previous, first, (value - previous)::DOUBLE AS absolute_change,
            round((value - previous) / nullif(previous, 0), 6) AS relative_change FROM l
     """
 )
 def run_change(t: Tables) -> DataFrame:
     month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
     runs = t.orders.groupBy(F.col("o_orderpriority").alias("metric"), month.alias("run_no")).agg(F.count("*").alias("value"))
-    return run_changes(runs).withColumn("relative_change", F.round("relative_change", 6))
+    changes = run_changes(runs).withColumn("relative_change", F.round("relative_change", 6))
+    return changes.withColumns({c: F.col(c).cast("double") for c in ("previous", "absolute_change")})
 
 
 def _versions(t: Tables) -> DataFrame:
@@ -334,7 +335,7 @@ def failure_union(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT o.o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority, c.c_custkey AS ord
+    SELECT o.o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority, c.c_custkey::DOUBLE AS ord
     FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c_custkey = o_custkey
     """
 )
@@ -346,7 +347,8 @@ def ordered_output(t: Tables) -> DataFrame:
     positions = t.customer.filter(F.col("c_acctbal") > 0).select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_custkey").alias("ord")
     )
-    return in_input_order(rows, positions, "o_custkey", "priority").select("o_orderkey", "priority", "ord")
+    ordered = in_input_order(rows, positions, "o_custkey", "priority")
+    return ordered.select("o_orderkey", "priority", F.col("ord").cast("double").alias("ord"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN s_name END AS name FROM supplier")
