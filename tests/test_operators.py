@@ -10,6 +10,7 @@ from lockscope.operators.audit import import_plan, stale_items
 from lockscope.operators.dedup import dedup_bytes, global_artifacts, with_artifact_id
 from lockscope.operators.ladder import resolve_urls
 from lockscope.operators.policies import archive_manifests, assign_batches, host_compatible
+from lockscope.operators.reports import category_counts, in_input_order, order_null_as_blank, phase_verdict
 from lockscope.operators.results import flag_roots, offline_summary, profile_status
 from lockscope.operators.rewrite import rewrite_json_locks
 from lockscope.operators.shape import exact_percentiles, number_rows
@@ -172,3 +173,24 @@ def test_archive_manifests(spark):
     )
     out = host_compatible(archive_manifests(blobs), ["linux"], ["x64", "x86_64"]).collect()
     assert {r.path: r.compatible for r in out} == {"ok": True, "mac": False, "odd": True, "none": True, "bad": True}
+
+
+def test_report_order(spark):
+    rows = spark.createDataFrame([("b", "2"), ("a", "9"), ("x", "1"), ("b", "1")], "p string, root string")
+    positions = spark.createDataFrame([("b", 0), ("a", 1)], "p string, ord bigint")
+    ordered = [(r.p, r.root) for r in in_input_order(rows, positions, "p", "root").collect()]
+    assert ordered == [("b", "1"), ("b", "2"), ("a", "9"), ("x", "1")]
+    blank = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
+    assert [r.v for r in order_null_as_blank(blank, "v").collect()] == [None, "a", "b"]
+    counted = category_counts(rows.withColumnRenamed("p", "category")).collect()
+    assert [(r.category, r["count"]) for r in counted] == [("b", 2), ("a", 1), ("x", 1)]
+
+
+def test_phase_verdict(spark):
+    schema = (
+        "failed_discovery_count int, resolution_failure_count int, prefetch_failure_count int, "
+        "validation_success_count int, input_profile_count int, second_run_bytes bigint"
+    )
+    rows = [(0, 0, 0, 5, 5, 0), (0, 0, 0, 4, 5, 0), (0, 0, 0, 5, 5, None), (0, 0, 0, 5, 5, 7)]
+    verdicts = [r.verdict for r in phase_verdict(spark.createDataFrame(rows, schema).coalesce(1)).collect()]
+    assert verdicts == ["passed", "partial", "partial", "partial"]
