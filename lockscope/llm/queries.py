@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import contamination
+from .langid import languages
+from .lines import line_report
+from .minhash import near_duplicates
+from .packing import pack
 from .pii import personal_data
+from .vectors import vector_duplicates
+from .warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +33,43 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS last FROM p WHERE strlen(h) >= 1000 GROUP BY h)
+SELECT p.page_id, strlen(p.h) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN p.page_id < g.last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < g.last THEN g.last END AS refers_to
+FROM p LEFT JOIN g ON p.h = g.h
+"""
+
+
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_duplicates(table(spark, sf_dir, "embeddings"))
