@@ -80,12 +80,12 @@ class _Powers:
         return np.multiply.accumulate(steps)
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
 def range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Fingerprints of values[start:end], equal for equal content wherever it lies."""
-    up, down = _POWERS.upto(len(values))
+    up, down = POWERS.upto(len(values))
     sums = np.empty(len(values) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(values * up[: len(values)], out=sums[1:])

@@ -13,6 +13,8 @@ from .lines import line_report
 from .minhash import near_duplicates
 from .packing import pack
 from .pii import personal_data
+from .substring import substring_report
+from .suffixes import suffix_report
 from .vectors import vector_duplicates
 from .warc import round_trip
 
@@ -73,3 +75,13 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(table(spark, sf_dir, "documents"))
