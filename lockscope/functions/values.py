@@ -44,13 +44,18 @@ def after(value: Column, separator: str) -> Column:
 # therefore read inside a wrapper whose last member is only reached by a whole text.
 
 
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def read_json(text: Column, schema: str, **options: str) -> Column:
     """struct(doc, whole): ``doc`` of the given type, ``whole`` is NULL for broken texts.
 
+    JSON is read strictly unless ``options`` allow more.
+
     A part of another type than the schema says is NULL and spoils nothing else.
     """
     wrapped = F.concat(F.lit('{"doc":'), text, F.lit(',"whole":1}'))
-    return F.from_json(wrapped, f"doc {schema}, whole INT", dict(options))
+    return F.from_json(wrapped, f"doc {schema}, whole INT", {**STRICT_JSON, **options})
 
 
 def json_document(text: Column) -> Column:

@@ -80,9 +80,11 @@ def usable_status(status: Column, cas_path: Column) -> Column:
 
 
 def dedup_savings(artifacts: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Byte columns per artifact; bytes are NULL where no size is known."""
+    """Byte columns per artifact; an unknown size is the artifact's ``estimated_bytes``, if it has them."""
     known = statuses.select("artifact_id", "status", "size_bytes", "cas_path", "error")
     size = F.nullif(F.col("size_bytes"), F.lit(0))
+    if "estimated_bytes" in artifacts.columns:
+        size = F.coalesce(size, F.nullif(F.col("estimated_bytes"), F.lit(0)))
     refs = F.coalesce(F.nullif(F.col("reference_count"), F.lit(0)), F.lit(1))
     columns = [c for c in ("artifact_id", "type", "name", "version") if c in artifacts.columns]
     return artifacts.join(known, "artifact_id", "left").select(

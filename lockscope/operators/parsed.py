@@ -26,6 +26,13 @@ def file_text(content: Column | str = "content") -> Column:
     return column.cast("string")
 
 
+def input_order(profile_position: Column | None = None) -> Column:
+    """A total order of references: profile (by position, if given), root, lock before manifest, place in the file."""
+    rank = F.when(F.col("filename") == "package.json", 1).otherwise(0)
+    position = profile_position if profile_position is not None else F.lit(None).cast("bigint")
+    return F.struct(position.alias("profile"), F.col("profile_id"), F.col("dependency_root"), rank.alias("source"), F.col("filename"), F.col("pos"))
+
+
 def reference_rows(parsed: DataFrame) -> DataFrame:
     """Good entries, completed: default source, default registry URL."""
     complete_url = F.when(

@@ -32,18 +32,19 @@ def _yaml_reader(
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
         for batch in batches:
-            out = []
             for *key, text in batch.itertuples(index=False):
+                out = []
                 try:
                     document = yaml.load(text, loader) or {}
                     for section in sections:
                         entries = document.get(section)
                         if isinstance(entries, dict):
                             for pos, (name, value) in enumerate(entries.items()):
-                                out.append((*key, section, pos, str(name), json.dumps(value, default=str)))
-                except (yaml.YAMLError, AttributeError):
-                    out.append((*key, "broken", 0, None, None))
-            yield pd.DataFrame(out, columns=columns)
+                                said = json.dumps(value, default=str)
+                                out.append((*key, section, pos, str(name).encode("utf-8", "replace").decode(), said))
+                except Exception:  # whatever a file holds, it is that file's problem
+                    out = [(*key, "broken", 0, None, None)]
+                yield pd.DataFrame(out, columns=columns)
 
     return read
 

@@ -28,13 +28,14 @@ def category_counts(rows: DataFrame, column: str = "category") -> DataFrame:
 
 
 def timing_summary(timings: DataFrame, key: str = "stage", value: str = "elapsed_ms") -> DataFrame:
-    """count, total, p50, p95, max per stage; NULL timings are skipped."""
+    """count, total, p50, p95, max per stage, NULL stage included; NULL timings are skipped."""
     sums = (
         timings.filter(F.col(value).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("count"), F.sum(value).alias("total"), F.max(value).alias("max"))
     )
-    return sums.join(exact_percentiles(timings, [key], value, {"p50": 0.5, "p95": 0.95}), key)
+    ranks = exact_percentiles(timings, [key], value, {"p50": 0.5, "p95": 0.95}).withColumnRenamed(key, "_key")
+    return sums.join(ranks, sums[key].eqNullSafe(ranks["_key"])).drop("_key")
 
 
 def fetch_summary(statuses: DataFrame) -> DataFrame:
@@ -206,7 +207,7 @@ def stage_failures(**stages: DataFrame) -> DataFrame:
 def in_input_order(rows: DataFrame, positions: DataFrame, key: str, then: str) -> DataFrame:
     """Order by position of the key in the input list, then by ``then``; unknown last."""
     joined = rows.join(positions.select(key, "ord"), key, "left")
-    return joined.orderBy(F.coalesce("ord", F.lit(1_000_000_000)), then)
+    return joined.orderBy(F.asc_nulls_last("ord"), then)
 
 
 def order_null_as_blank(rows: DataFrame, *columns: str) -> DataFrame:

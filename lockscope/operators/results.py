@@ -40,14 +40,19 @@ def missed_artifacts(statuses: DataFrame) -> DataFrame:
     )
 
 
-def root_log_flags(logs: DataFrame, scratch_prefixes: Sequence[str] = ()) -> DataFrame:
+def root_log_flags(
+    logs: DataFrame, scratch_prefixes: Sequence[str] = (), reasons: DataFrame | None = None
+) -> DataFrame:
     """Sign flags per root from logs (profile_id, dependency_root, phase, stream, text).
 
-    Each log is searched where it is read; only booleans are shuffled.
+    Each log is searched where it is read; only booleans are shuffled. ``reasons``
+    (profile_id, dependency_root, reason): the roots' own reasons count like a log.
     """
     flags = sign_flags(F.lower("text"), scratch_prefixes)
-    combined = [F.bool_or(name).alias(name) for name in SIGN_GROUPS]
-    return logs.select(*ROOT_KEY, *flags).groupBy(*ROOT_KEY).agg(*combined)
+    found = logs.select(*ROOT_KEY, *flags)
+    if reasons is not None:
+        found = found.unionByName(reasons.select(*ROOT_KEY, F.col("reason").alias("text")).select(*ROOT_KEY, *flags))
+    return found.groupBy(*ROOT_KEY).agg(*[F.bool_or(name).alias(name) for name in SIGN_GROUPS])
 
 
 def profile_status(profiles: DataFrame, root_results: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_SUB_BUCKETS = 4096
+#: Buckets that a key's rows are spread over, about evenly.
+BUCKETS = 128
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
@@ -17,14 +18,21 @@ def one_row(*frames: DataFrame) -> DataFrame:
     return merged.agg(*[F.max(F.col(c)).alias(c) for c in merged.columns])
 
 
-def value_bucket(value: Column) -> Column:
-    """A bucket number that never decreases as ``value`` grows, known without a scan.
+def _bucketed(rows: DataFrame, value: Column) -> DataFrame:
+    """Adds ``_bucket``, which never decreases as ``value`` grows; NaN and then NULL come last.
 
-    Logarithmic, so 0..10^10 spreads over some 10^5 buckets and a dense ordinal never
-    puts more than about 1/6000 of its rows into one of them.
+    The limits are quantiles of each ``_group``, from a sketch that is merged before the shuffle. So
+    they follow the data, wherever its values lie.
     """
-    size = F.log2(F.abs(value.cast("double")) + 1) * _SUB_BUCKETS
-    return F.floor(F.signum(value.cast("double")) * size)
+    keyed = rows.withColumn("_value", value.cast("double"))
+    plain = F.col("_value").isNotNull() & ~F.isnan("_value")
+    quantiles = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    limits = keyed.groupBy("_group").agg(
+        F.array_distinct(F.percentile_approx(F.when(plain, F.col("_value")), quantiles, F.lit(20 * BUCKETS))).alias("_limits")
+    )
+    place = F.size(F.filter("_limits", lambda x: x < F.col("_value")))
+    bucket = F.when(plain, F.coalesce(place, F.lit(0))).otherwise(F.when(F.col("_value").isNull(), BUCKETS + 1).otherwise(BUCKETS))
+    return keyed.join(limits, "_group").withColumn("_bucket", bucket).drop("_limits", "_value")
 
 
 def _group_key(keys: Sequence[str]) -> Column:
@@ -33,17 +41,18 @@ def _group_key(keys: Sequence[str]) -> Column:
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """0-based row number inside each key, ordered by ``order`` (first column numeric).
+    """0-based row number inside each key, ordered by ``order``, NULLs last (first column: number or time).
 
     A key may hold any share of the rows: numbers are given inside (key, bucket) and
-    shifted by the count of all lower buckets, so no task sees a whole key.
+    shifted by the count of all lower buckets. Only rows with one and the same first
+    order value share a bucket by necessity.
     """
     part = ["_group", "_bucket"]
-    bucketed = df.withColumns({"_group": _group_key(keys), "_bucket": value_bucket(F.col(order[0]))})
+    bucketed = _bucketed(df.withColumn("_group", _group_key(keys)), F.col(order[0]))
     counts = bucketed.groupBy(*part).agg(F.count("*").alias("_n"))
     lower = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
-    inside = Window.partitionBy(*part).orderBy(*order)
+    inside = Window.partitionBy(*part).orderBy(*[F.asc_nulls_last(c) for c in order])
     return (
         bucketed.join(offsets, part)
         .withColumn(name, F.col("_below") + F.row_number().over(inside) - 1)
@@ -58,14 +67,16 @@ def exact_percentiles(
 
     Equal values are counted first; ranks come from bucket totals plus a running count
     inside (key, bucket). ``percentile`` would hold all values of a key in one buffer.
+    NaN is the largest value.
     """
     part = ["_group", "_bucket"]
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
-        .withColumns({"_group": _group_key(keys), "_bucket": value_bucket(F.col("_v"))})
+        .withColumn("_group", _group_key(keys))
     )
+    counted = _bucketed(counted, F.col("_v"))
     totals = counted.groupBy(*part).agg(F.sum("_n").alias("_in_bucket"))
     whole = Window.partitionBy("_group")
     lower = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,4 +98,5 @@ def _at_rank(quantile: float) -> Column:
         return F.max(F.when(here, F.col("_v")))
 
     weight = F.max(rank - F.floor(rank))
-    return at(F.floor(rank)) * (1 - weight) + at(F.ceil(rank)) * weight
+    # no arithmetic at a whole rank: infinity times zero is not a number
+    return F.when(weight == 0, at(F.floor(rank))).otherwise(at(F.floor(rank)) * (1 - weight) + at(F.ceil(rank)) * weight)

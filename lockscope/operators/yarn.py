@@ -85,7 +85,7 @@ def parse_yarn(files: DataFrame) -> DataFrame:
     typed = parsed.select("*", kind.alias("type"), name.alias("name"), origin.alias("origin"))
     return typed.select(
         *parsed_columns(
-            pos=F.shiftleft(F.col("stanza").cast("bigint"), 16) + F.col("place"),
+            pos=F.shiftleft(F.col("stanza").cast("bigint"), 32) + F.col("place"),
             type=F.col("type"),
             name=F.col("name"),
             version=F.col("version"),

@@ -59,7 +59,7 @@ def protocol_mix(t: Tables) -> DataFrame:
         host("registry.npmjs.org"),
         F.concat(F.lit("catalog:"), "url"),
     ]
-    specs = t.spread("pages", "url").select(F.explode(F.array(*variants)).alias("spec"))
+    specs = t.dealt("pages", "url").select(F.explode(F.array(*variants)).alias("spec"))
     return distribution(specs.select(classify_spec(F.col("spec")).alias("type")), "type")
 
 
@@ -182,7 +182,7 @@ def file_manifest(t: Tables) -> DataFrame:
     key = F.col("doc_id")
     name = pick(key, *candidate_names(), "README.md")
     path = F.concat(F.lit("file:/base/p"), key.cast("string"), F.lit("/"), pick(key, "root", "apps__web"), F.lit("/"), name)
-    raw = t.spread("documents", "doc_id", "text").select(path.alias("path"), F.encode("text", "UTF-8").alias("content"))
+    raw = t.documents.select("doc_id", "text").select(path.alias("path"), F.encode("text", "UTF-8").alias("content"))
     return describe_files(raw).drop("content")
 
 
@@ -204,7 +204,7 @@ def sri_verify(t: Tables) -> DataFrame:
     wrong_or_right = F.when(key % 7 == 0, F.reverse(digest)).otherwise(digest)
     encoded = F.regexp_replace(F.base64(F.unhex(wrong_or_right)), "\\s", "")
     body = F.when(key % 11 == 0, F.concat(F.lit("!"), encoded)).otherwise(encoded)
-    rows = t.spread("documents", "doc_id", "text").select(
+    rows = t.documents.select("doc_id", "text").select(
         key,
         F.encode("text", "UTF-8").alias("content"),
         F.concat(algorithm, F.lit("-"), body, F.lit(" sha1-ignored")).alias("integrity"),
@@ -230,7 +230,7 @@ def sri_verify(t: Tables) -> DataFrame:
 )
 def blob_paths(t: Tables) -> DataFrame:
     key = F.col("doc_id")
-    rows = t.spread("documents", "doc_id", "text", "lang").select(
+    rows = t.documents.select("doc_id", "text", "lang").select(
         key,
         F.sha2("text", 256).alias("h"),
         F.concat(F.lit("url:https://x.example/a?b#"), F.expr("repeat(lang, int(doc_id % 90))")).alias("id"),
@@ -293,7 +293,7 @@ def version_match(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_type = 'error' THEN 'lockfile contains Git conflict markers'
+    SELECT event_id, CASE WHEN event_type = 'error' THEN 'unresolved merge in the lock'
                           WHEN event_type = 'click' THEN 'invalid JSON' WHEN json_valid(props) THEN NULL
                           ELSE 'invalid JSON' END AS problem FROM events
     """
@@ -312,9 +312,9 @@ def lock_validity(t: Tables) -> DataFrame:
     WITH e AS (SELECT event_id, ['npm', 'pnpm', 'yarn', 'bun', 'cargo'][(event_id % 5 + 1)::INT] AS m, event_type AS t,
                       event_id % 6 = 0 AS no_lock FROM events)
     SELECT event_id, m AS manager,
-           CASE WHEN no_lock THEN 'no lockfile in dependency root'
-                WHEN t = 'view' AND m IN ('npm', 'pnpm', 'yarn') THEN 'strict/immutable install command'
-                ELSE 'plain install may update lockfile' END AS reason,
+           CASE WHEN no_lock THEN 'the root has no lock'
+                WHEN t = 'view' AND m IN ('npm', 'pnpm', 'yarn') THEN 'strict install: the lock must not change'
+                ELSE 'the install command may rewrite the lock' END AS reason,
            CASE WHEN t = 'error' AND m = 'npm' AND NOT no_lock THEN 'unsupported_or_manual_review'
                 WHEN t = 'view' AND m IN ('npm', 'pnpm', 'yarn') AND NOT no_lock THEN 'authoritative_existing'
                 WHEN m = 'cargo' THEN 'unsupported_or_manual_review'
@@ -359,7 +359,7 @@ def lock_changed(t: Tables) -> DataFrame:
     key = F.col("doc_id")
     source = F.when(key % 9 != 0, F.sha2("text", 256))
     resolved = F.sha2(F.when(key % 5 == 0, F.concat("text", F.lit("\n"))).otherwise(F.col("text")), 256)
-    return t.spread("documents", "doc_id", "text").select("doc_id", is_changed(source, resolved).alias("changed"))
+    return t.documents.select("doc_id", "text").select("doc_id", is_changed(source, resolved).alias("changed"))
 
 
 @query(
@@ -482,4 +482,4 @@ def retry_advice(t: Tables) -> DataFrame:
     )
     manager = pick(key, "npm", "npm", "pnpm", "pnpm", "yarn", "bun", "npm")
     output = F.concat("text", F.lit("\n"), seed)
-    return t.spread("documents", "doc_id", "text").select("doc_id", retry_flag(manager, output).alias("flag"))
+    return t.documents.select("doc_id", "text").select("doc_id", retry_flag(manager, output).alias("flag"))

@@ -420,7 +420,7 @@ def imported_union(t: Tables) -> DataFrame:
 def download_plan(t: Tables) -> DataFrame:
     """Copies of a text are one artifact; a network artifact without a good blob is fetched."""
     sha = F.sha2("text", 256)
-    documents = t.spread("documents", "doc_id", "text").select(sha.alias("h"), "text")
+    documents = t.documents.select("doc_id", "text").select(sha.alias("h"), "text")
     start = F.substring("h", 1, 1)
     artifacts = documents.select(
         F.concat(F.lit("sha256:"), "h").alias("artifact_id"),

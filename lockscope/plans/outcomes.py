@@ -50,7 +50,7 @@ _SEEDS = (
 def _logs(t: Tables) -> DataFrame:
     key = F.col("doc_id")
     text = F.lower(F.concat_ws("\n", "text", pick(key, *_SEEDS)))
-    return t.spread("documents", "doc_id", "text").select(key, (key % 14).alias("seed"), text.alias("text"))
+    return t.documents.select("doc_id", "text").select(key, (key % 14).alias("seed"), text.alias("text"))
 
 
 @query(
@@ -100,14 +100,14 @@ def _failure_rows(t: Tables) -> DataFrame:
     f"""
     SELECT doc_id, {_FAILURE_CASE} AS category,
            CASE {_FAILURE_CASE} WHEN 'resolution_record_unavailable' THEN 'Resolution record unavailable or manual review'
-                WHEN 'toolchain_bootstrap' THEN 'package-manager CLI bootstrap failed'
-                WHEN 'install_timeout' THEN 'install command exceeded validation timeout'
-                WHEN 'lockfile_or_peer_resolution' THEN 'lockfile or peer dependency contract rejected'
-                WHEN 'project_snapshot_incomplete' THEN 'required workspace, patch, or fixture file is absent'
-                WHEN 'local_artifact_integrity_or_cache' THEN 'local artifact cache is missing or fails integrity'
-                WHEN 'node_engine_or_runtime' THEN 'project requires a newer Node runtime'
-                WHEN 'original_install_or_lifecycle' THEN 'CTDP install succeeds but original project command fails'
-                ELSE 'project install failed without a narrower signature' END AS explanation FROM documents
+                WHEN 'toolchain_bootstrap' THEN 'the package manager itself could not be started'
+                WHEN 'install_timeout' THEN 'the install took longer than allowed'
+                WHEN 'lockfile_or_peer_resolution' THEN 'the resolver refused the lock or a peer requirement'
+                WHEN 'project_snapshot_incomplete' THEN 'the checkout lacks a file that the install reads'
+                WHEN 'local_artifact_integrity_or_cache' THEN 'a package is not in the local cache, or its hash is wrong'
+                WHEN 'node_engine_or_runtime' THEN 'the runtime in use is too old for the project'
+                WHEN 'original_install_or_lifecycle' THEN 'only the project install command of its own fails'
+                ELSE 'the install failed for a reason no rule knows' END AS explanation FROM documents
     """
 )
 def failure_class(t: Tables) -> DataFrame:
@@ -137,7 +137,7 @@ _ROOT_SEEDS = """
 def root_log_class(t: Tables) -> DataFrame:
     """Many logs per root: verdicts from combined flags, without moving a text."""
     text = F.concat_ws("\n", "text", pick(F.col("doc_id"), *_SEEDS))
-    logs = t.spread("documents", "doc_id", "text", "source", "lang").select(
+    logs = t.documents.select("doc_id", "text", "source", "lang").select(
         F.col("source").alias("profile_id"), F.col("lang").alias("dependency_root"), text.alias("text")
     )
     none, failed = F.lit(None), F.lit("other_failure")

@@ -70,7 +70,7 @@ def _line_id() -> Column:
     """
 )
 def lock_npm(t: Tables) -> DataFrame:
-    rows = t.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = t.dealt("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     files = as_files(rows, _line_id(), "package-lock.json", _npm_text())
     return reference_rows(parse_npm(files)).select(*_REF)
 
@@ -91,7 +91,7 @@ def lock_npm(t: Tables) -> DataFrame:
 )
 def lock_npm_v1(t: Tables) -> DataFrame:
     joined = (
-        t.spread("customer", "c_custkey", "c_nationkey")
+        t.dealt("customer", "c_custkey", "c_nationkey")
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -151,7 +151,7 @@ def _dashed(column: str) -> Column:
     """
 )
 def lock_yarn(t: Tables) -> DataFrame:
-    parts = t.spread("part", "p_partkey", "p_name", "p_size")
+    parts = t.dealt("part", "p_partkey", "p_name", "p_size")
     rendered = parts.select(
         "p_partkey",
         F.explode(
@@ -199,7 +199,7 @@ _PNPM = (
 
 
 def _pnpm_files(t: Tables) -> DataFrame:
-    parts = t.spread("part", "p_partkey", "p_name", "p_size")
+    parts = t.dealt("part", "p_partkey", "p_name", "p_size")
     text = fill(_PNPM, key="p_partkey", n=_dashed("p_name"), size="p_size")
     return as_files(parts, F.col("p_partkey"), "pnpm-lock.yaml", text)
 
@@ -269,7 +269,7 @@ _BUN = (
     """
 )
 def lock_bun(t: Tables) -> DataFrame:
-    parts = t.spread("part", "p_partkey", "p_name", "p_size")
+    parts = t.dealt("part", "p_partkey", "p_name", "p_size")
     text = fill(_BUN, key="p_partkey", n=_dashed("p_name"), size="p_size")
     return parse_bun(as_files(parts, F.col("p_partkey"), "bun.lock", text)).select(
         "profile_id", "pos", "type", "name", "version", "resolved_url", "integrity", "path", "optional", "problem"
@@ -298,7 +298,7 @@ def lock_all(t: Tables) -> DataFrame:
         .otherwise(fill('{packages: {"pk-<k>": ["pk-<k>@1.0.<k>",],}}', k=key))
     )
     text = F.when(key % 13 == 0, "{[ <<<<<<< HEAD").otherwise(good)
-    locks = as_files(t.spread("part", "p_partkey"), key, manager, text, manager.alias("package_manager"))
+    locks = as_files(t.dealt("part", "p_partkey"), key, manager, text, manager.alias("package_manager"))
     parsed = parse_locks(locks)
     manager_of = F.col("filename").alias("package_manager")
     references = reference_rows(parsed).select(
@@ -322,7 +322,7 @@ def lock_all(t: Tables) -> DataFrame:
     """
 )
 def manifest_specs(t: Tables) -> DataFrame:
-    pages = t.spread("pages", "page_id", "url")
+    pages = t.dealt("pages", "page_id", "url")
     text = fill(
         '{"name":"app","dependencies":{"plain":"<u>","range":"^1.0.0","n":5},"devDependencies":{"vcs":"git+<u>"},'
         '"optionalDependencies":{"local":"file:<u>"},"peerDependencies":{"member":"workspace:<u>"}}',
@@ -344,7 +344,7 @@ _DOCKERFILE = (
 
 
 def _instructions(t: Tables) -> DataFrame:
-    customers = t.spread("customer", "c_custkey", "c_nationkey")
+    customers = t.dealt("customer", "c_custkey", "c_nationkey")
     text = fill(_DOCKERFILE, key="c_custkey", nation="c_nationkey", major=F.col("c_custkey") % 7 + 14)
     return dockerfile_instructions(
         customers.select(F.col("c_custkey").cast("string").alias("profile_id"), text.alias("text"))
@@ -475,7 +475,7 @@ def evidence_union(t: Tables) -> DataFrame:
     """
 )
 def manifest_issues(t: Tables) -> DataFrame:
-    pages = t.spread("pages", "page_id", "url")
+    pages = t.dealt("pages", "page_id", "url")
     insecure = F.startswith("url", F.lit("http:"))
     good = as_files(
         pages, F.col("page_id"), "package.json", fill('{"dependencies":{"vcs":"git+<u>"}}', u="url")

@@ -22,14 +22,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        """Table for row-heavy work: a scan with too few splits is dealt out first.
-
-        The check only counts splits. Tables of many files are left as they are read.
-        """
-        df = getattr(self, name).select(*columns)
-        wanted = self._spark.sparkContext.defaultParallelism
-        return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    def dealt(self, name: str, *columns: str) -> DataFrame:
+        """Narrow rows of a table, dealt out by their first column before each becomes a long text."""
+        return getattr(self, name).select(*columns).repartition(F.col(columns[0]))
 
 
 def query(sql: str | None) -> Callable:

@@ -151,19 +151,3 @@ def read_install_logs(spark: SparkSession, base: str) -> DataFrame:
         F.regexp_extract(path, pattern, 4).alias("stream"),
         F.col("value").alias("text"),
     )
-
-
-def failure_texts(logs: DataFrame, reasons: DataFrame | None = None) -> DataFrame:
-    """(profile_id, dependency_root, text): reason, then g1 and g2 output, lower case."""
-    parts = [
-        F.max(F.when((F.col("phase") == phase) & (F.col("stream") == stream), non_blank(F.col("text"))))
-        for phase in ("g1", "g2")
-        for stream in ("stdout", "stderr")
-    ]
-    names = [f"_p{i}" for i in range(len(parts))]
-    key = ["profile_id", "dependency_root"]
-    pivoted = logs.groupBy(*key).agg(*[p.alias(n) for p, n in zip(parts, names)])
-    if reasons is not None:
-        pivoted = pivoted.join(reasons.select(*key, "reason"), key, "full")
-        names = ["reason", *names]
-    return pivoted.select(*key, F.lower(F.concat_ws("\n", *[non_blank(F.col(n)) for n in names])).alias("text"))

@@ -4,9 +4,9 @@ import json
 
 import pytest
 
+from lockscope.operators.results import root_log_flags
 from lockscope.sources.readers import (
     directory_bytes,
-    failure_texts,
     files_per_root,
     profile_id_problems,
     read_blobs,
@@ -87,8 +87,13 @@ def test_install_logs(spark, tmp_path):
     (folder / "g1.stdout.log").write_text("One\nTWO")
     (folder / "g2.stderr.log").write_text("Three")
     reasons = spark.createDataFrame([("p", ".", "Why"), ("q", ".", "Only")], "profile_id string, dependency_root string, reason string")
-    texts = {r.profile_id: r.text for r in failure_texts(read_install_logs(spark, str(tmp_path)), reasons).collect()}
-    assert texts == {"p": "why\none\ntwo\nthree", "q": "only"}
+    (folder / "g1.stderr.log").write_text("npm ERESOLVE now")
+    reasons = reasons.union(spark.createDataFrame([("r", ".", "Timed OUT")], reasons.schema))
+    logs = read_install_logs(spark, str(tmp_path))
+    assert {(r.phase, r.stream) for r in logs.collect()} == {("g1", "stdout"), ("g1", "stderr"), ("g2", "stderr")}
+    flags = {r.profile_id: r for r in root_log_flags(logs, reasons=reasons).collect()}
+    assert flags["p"].failure_lockfile_or_peer_resolution and not flags["p"].timeout
+    assert flags["r"].timeout and not flags["q"].timeout
 
 
 def test_writers(spark, tmp_path):
