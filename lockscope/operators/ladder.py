@@ -7,8 +7,6 @@ one hash join serves all of them.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.specs import is_network_type, tarball_name_agrees
@@ -25,12 +23,8 @@ def _usable(artifacts: DataFrame) -> DataFrame:
     )
 
 
-def best_artifacts(artifacts: DataFrame, prefer_downloaded: bool) -> DataFrame:
-    """One usable registry artifact per (name, version): best score, first on ties.
-
-    Score, in order: file name fits, has integrity, has content hash and, where asked
-    for, freshly downloaded. A maximum, not a row number: hot packages combine early.
-    """
+def _candidates(artifacts: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Usable named registry artifacts, and their score without the freshness."""
     usable = _usable(artifacts).filter(
         (F.col("type") == "registry") & F.col("name").isNotNull() & F.col("version").isNotNull()
     )
@@ -39,17 +33,41 @@ def best_artifacts(artifacts: DataFrame, prefer_downloaded: bool) -> DataFrame:
         non_blank(F.col("integrity")).isNotNull(),
         non_blank(F.col("content_sha256")).isNotNull(),
     ]
+    return usable, score
+
+
+def _rank(*score: Column) -> Column:
+    return F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)], (-F.col("ord")).alias("o"))
+
+
+def best_artifacts(artifacts: DataFrame, prefer_downloaded: bool) -> DataFrame:
+    """One usable registry artifact per (name, version): best score, first on ties.
+
+    Score, in order: file name fits, has integrity, has content hash and, where asked
+    for, freshly downloaded. A maximum, not a row number: hot packages combine early.
+    """
+    usable, score = _candidates(artifacts)
     if prefer_downloaded:
         score.append(F.col("status") == "downloaded")
-    rank = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)], (-F.col("ord")).alias("o"))
     kept = F.struct("artifact_id", "url", "integrity", "content_sha256", "cas_path", "status")
     return (
         usable.groupBy("name", "version")
-        .agg(F.max_by(kept, rank).alias("best"), F.min("ord").alias("first_ord"))
+        .agg(F.max_by(kept, _rank(*score)).alias("best"), F.min("ord").alias("first_ord"))
         .select("name", "version", "best.*", "first_ord")
     )
 
 
+def best_of_both(artifacts: DataFrame) -> DataFrame:
+    """(name, version, registry_best, install_best, first_ord): both choices of ``best_artifacts`` in one pass."""
+    usable, score = _candidates(artifacts)
+    fresh = F.col("status") == "downloaded"
+    return usable.groupBy("name", "version").agg(
+        F.max_by("artifact_id", _rank(*score, fresh)).alias("registry_best"),
+        F.max_by("artifact_id", _rank(*score)).alias("install_best"),
+        F.min("ord").alias("first_ord"),
+    )
+
+
 def source_keys(artifacts: DataFrame) -> DataFrame:
     """(key, artifact_id, type, first_ord): full and fragment-less sources, last wins."""
     keyed = (
@@ -70,27 +88,30 @@ def source_keys(artifacts: DataFrame) -> DataFrame:
 
 
 def ladder_keys(artifacts: DataFrame) -> DataFrame:
-    """(rung, key, artifact_id), unique per (rung, key)."""
-    sources = source_keys(artifacts)
-    git = sources.filter(F.col("type") == "git")
-    packages = best_artifacts(artifacts, prefer_downloaded=False)
-    fitting = packages.filter(tarball_name_agrees(F.col("name"), F.col("version"), F.col("url")))
+    """(rung, key, artifact_id), unique per (rung, key): sources and packages are each computed once."""
     stem = F.concat(after_last(F.col("name"), "/"), F.lit("-"), F.col("version"))
-
-    def first(frame: DataFrame, rung: int, key: Column) -> DataFrame:
-        keyed = frame.select(key.alias("key"), "artifact_id", "first_ord").filter(non_blank(F.col("key")).isNotNull())
-        picked = keyed.groupBy("key").agg(F.min_by("artifact_id", "first_ord").alias("artifact_id"))
-        return picked.select(F.lit(rung).alias("rung"), "key", "artifact_id")
-
-    tables = [
-        sources.select(F.lit(1).alias("rung"), "key", "artifact_id"),
-        first(git, 3, F.regexp_extract("key", _GIST, 1)),
-        first(git, 4, F.regexp_extract("key", _GITHUB, 1)),
-        packages.select(F.lit(5).alias("rung"), _package_key("name", "version").alias("key"), "artifact_id"),
-        first(fitting, 6, stem),
-        fitting.select(F.lit(7).alias("rung"), _package_key("name", stem).alias("key"), "artifact_id"),
-    ]
-    return reduce(DataFrame.unionByName, tables)
+    fits = tarball_name_agrees(F.col("name"), F.col("version"), F.col("url"))
+    is_git = F.col("type") == "git"
+
+    def keys(frame: DataFrame, **rungs: Column) -> DataFrame:
+        entries = F.array(*[F.struct(F.lit(int(n[1:])).alias("rung"), key.alias("key")) for n, key in rungs.items()])
+        wanted = F.filter(entries, lambda e: non_blank(e["key"]).isNotNull())
+        return frame.select("artifact_id", "first_ord", F.inline(wanted))
+
+    of_sources = keys(
+        source_keys(artifacts),
+        r1=F.col("key"),
+        r3=F.when(is_git, F.regexp_extract("key", _GIST, 1)),
+        r4=F.when(is_git, F.regexp_extract("key", _GITHUB, 1)),
+    )
+    of_packages = keys(
+        best_artifacts(artifacts, prefer_downloaded=False),
+        r5=_package_key("name", "version"),
+        r6=F.when(fits, stem),
+        r7=F.when(fits, _package_key("name", stem)),
+    )
+    both = of_sources.unionByName(of_packages)
+    return both.groupBy("rung", "key").agg(F.min_by("artifact_id", "first_ord").alias("artifact_id"))
 
 
 def _package_key(name: Column | str, rest: Column | str) -> Column:

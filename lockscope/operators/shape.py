@@ -24,6 +24,8 @@ def _bucketed(rows: DataFrame, value: Column) -> DataFrame:
     The limits are quantiles of each ``_group``, from a sketch that is merged before the shuffle. So
     they follow the data, wherever its values lie.
     """
+    if rows.select(value).dtypes[0][1] in ("date", "timestamp_ntz"):
+        value = value.cast("timestamp")
     keyed = rows.withColumn("_value", value.cast("double"))
     plain = F.col("_value").isNotNull() & ~F.isnan("_value")
     quantiles = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])

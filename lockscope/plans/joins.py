@@ -14,7 +14,7 @@ from ..operators.audit import (
     read_index_entries,
     stale_items as find_stale,
 )
-from ..operators.ladder import best_artifacts, resolve_urls
+from ..operators.ladder import best_of_both, resolve_urls
 from ..operators.locks import match_resolutions
 from ..operators.policies import assign_batches, cache_roots, policy_artifacts, root_policies
 from ..operators.profiles import index_profiles, match_profiles
@@ -52,10 +52,7 @@ def best_candidate(t: Tables) -> DataFrame:
         F.lit("blobs/x").alias("cas_path"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
     )
-    key = ["name", "version"]
-    registry = best_artifacts(artifacts, True).select(*key, F.col("artifact_id").alias("registry_best"), "first_ord")
-    install = best_artifacts(artifacts, False).select(*key, F.col("artifact_id").alias("install_best"))
-    return registry.join(install, key)
+    return best_of_both(artifacts)
 
 
 def _page_artifacts(t: Tables) -> DataFrame:

@@ -489,3 +489,25 @@ def manifest_issues(t: Tables) -> DataFrame:
         )
 
     return issues(good, "dependency").unionByName(issues(broken, "file"))
+
+
+@query(
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS profile_id, CASE WHEN p_partkey % 5 = 1 THEN 's-?' WHEN p_partkey % 5 = 4 THEN 'ok' END AS name,
+           CASE WHEN p_partkey % 5 IN (0, 2, 3) THEN 'lockfile parse failed' END AS reason FROM part
+    """
+)
+def bad_locks(t: Tables) -> DataFrame:
+    """Single quotes, a lone surrogate, an impossible date, a date as a key: a bad file is an issue, not an end."""
+    key = F.col("p_partkey")
+    text = pick(
+        key,
+        '{"lockfileVersion":1,"dependencies":{\'a\':{"version":"1.0.0"}}}',
+        '{"lockfileVersion":1,"dependencies":{"s-\\ud800":{"version":"1.0.0"}}}',
+        "packages:\n  d@1.0.0:\n    resolution: {integrity: 2020-13-45}\n",
+        "packages:\n  d@1.0.0:\n    2020-01-02: x\n",
+        "packages:\n  ok@1.0.0: {}\n",
+    )
+    manager = pick(key, "npm", "npm", "pnpm", "pnpm", "pnpm")
+    parsed = parse_locks(as_files(t.dealt("part", "p_partkey"), key, manager, text, manager.alias("package_manager")))
+    return parsed.select("profile_id", "name", F.col("problem").alias("reason"))

@@ -27,7 +27,7 @@ from ..operators.reports import (
     warmup_by_manager as by_manager,
     warmup_by_policy as by_policy,
 )
-from ..operators.shape import exact_percentiles, one_row
+from ..operators.shape import exact_percentiles, number_rows, one_row
 from ..functions.values import url_host
 from .outcomes import _order_statuses
 from .registry import Tables, fill, query
@@ -355,3 +355,48 @@ def ordered_output(t: Tables) -> DataFrame:
 def ordered_blank(t: Tables) -> DataFrame:
     rows = t.supplier.select("s_suppkey", F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("name"))
     return order_null_as_blank(rows, "name")
+
+
+@query(
+    """
+    SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type
+           ORDER BY CASE WHEN event_id % 7 <> 0 THEN ts END NULLS LAST, event_id) - 1 AS row_no FROM events
+    """
+)
+def number_rows_times(t: Tables) -> DataFrame:
+    """Numbers by time of day, a seventh of the times unknown."""
+    rows = t.events.select("event_id", "event_type", F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("at"))
+    return number_rows(rows, ["event_type"], ["at", "event_id"]).select("event_id", "event_type", "row_no")
+
+
+@query(
+    """
+    SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority,
+           quantile_cont(o_orderkey, 0.5) AS p50, quantile_cont(o_orderkey, 0.95) AS p95, max(o_orderkey) AS top
+    FROM orders GROUP BY 1
+    """
+)
+def percentile_far(t: Tables) -> DataFrame:
+    """Percentiles of dense numbers far from zero, one key unknown."""
+    far = 10**12
+    rows = t.orders.select(
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
+        (F.col("o_orderkey") + far).alias("value"),
+    )
+    found = exact_percentiles(rows, ["priority"], "value", {"p50": 0.5, "p95": 0.95, "top": 1.0})
+    near = [F.round(F.col(c) - far, 2).alias(c) for c in ("p50", "p95")]
+    return found.select("priority", *near, (F.col("top") - far).cast("bigint").alias("top"))
+
+
+@query(
+    """
+    SELECT CASE WHEN event_type <> 'click' THEN event_type END AS stage, count(*) AS count,
+           round(quantile_cont(value, 0.5), 4) AS p50, max(value) AS max FROM events GROUP BY 1
+    """
+)
+def timing_unknown_stage(t: Tables) -> DataFrame:
+    """The timings without a stage are one stage."""
+    rows = t.events.select(
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("stage"), F.col("value").alias("elapsed_ms")
+    )
+    return timings(rows).select("stage", "count", F.round("p50", 4).alias("p50"), "max")

@@ -1,19 +1,23 @@
 from __future__ import annotations
 
 import io
+import math
+import re
 import tarfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lockscope.operators.audit import import_plan, stale_items
 from lockscope.operators.dedup import dedup_bytes, global_artifacts, with_artifact_id
 from lockscope.operators.ladder import resolve_urls
+from lockscope.operators.locks import parse_roots
 from lockscope.operators.policies import archive_manifests, assign_batches, host_compatible
 from lockscope.operators.reports import category_counts, in_input_order, order_null_as_blank, phase_verdict
 from lockscope.operators.results import flag_roots, offline_summary, profile_status
 from lockscope.operators.rewrite import rewrite_json_locks
-from lockscope.operators.shape import exact_percentiles, number_rows
+from lockscope.operators.shape import _bucketed, exact_percentiles, number_rows
 from lockscope.functions.integrity import fingerprint
 
 ARTIFACT = (
@@ -194,3 +198,45 @@ def test_phase_verdict(spark):
     rows = [(0, 0, 0, 5, 5, 0), (0, 0, 0, 4, 5, 0), (0, 0, 0, 5, 5, None), (0, 0, 0, 5, 5, 7)]
     verdicts = [r.verdict for r in phase_verdict(spark.createDataFrame(rows, schema).coalesce(1)).collect()]
     assert verdicts == ["passed", "partial", "partial", "partial"]
+
+
+def test_numbers_keep_unknown_orders(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2.0), ("a", float("nan")), ("a", 1.0), (None, 5.0)], "k string, v double")
+    rows = {(r.k, str(r.v)): r.row_no for r in number_rows(df, ["k"], ["v"]).collect()}
+    assert rows == {("a", "1.0"): 0, ("a", "2.0"): 1, ("a", "nan"): 2, ("a", "None"): 3, (None, "5.0"): 0}
+
+
+def test_percentiles_rank_nan_last(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    found = exact_percentiles(df, [], "v", {"p50": 0.5, "p100": 1.0}).first()
+    assert found.p50 == 2.5 and math.isnan(found.p100)
+    df = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "v double")
+    assert tuple(exact_percentiles(df, [], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).first()) == (float("-inf"), 1.0, float("inf"))
+
+
+@pytest.mark.parametrize("base", [0, 10**15, 1_700_000_000_000_000])
+def test_no_bucket_holds_a_large_part(spark, base):
+    df = spark.range(1_000_000).select((F.col("id") + base).alias("v"), F.lit("k").alias("_group"))
+    largest = _bucketed(df, F.col("v")).groupBy("_bucket").count().agg(F.max("count")).first()[0]
+    assert largest < 50_000
+
+
+def test_unknown_positions_come_last(spark):
+    rows = spark.createDataFrame([("x", 1), ("y", 1), ("z", 1)], "k string, n int")
+    positions = spark.createDataFrame([("x", 2 * 10**9), ("z", 5)], "k string, ord long")
+    assert [r.k for r in in_input_order(rows, positions, "k", "n").collect()] == ["z", "x", "y"]
+
+
+def test_no_content_is_shuffled(spark):
+    key = "profile_id string, dependency_root string"
+    resolutions = spark.createDataFrame([], f"{key}, resolved_lockfile string, source_lockfile string, classification string")
+    roots = spark.createDataFrame([], f"{key}, package_manager string")
+    files = spark.createDataFrame([], f"{key}, filename string, content string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = parse_roots(resolutions, roots, files)._jdf.queryExecution()
+        said = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", said)
+    assert exchanges and not any(re.search(r"\bcontent#|\btext#", x) for x in exchanges)
