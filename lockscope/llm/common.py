@@ -83,12 +83,18 @@ class _Powers:
 POWERS = _Powers()
 
 
-def range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Fingerprints of values[start:end], equal for equal content wherever it lies."""
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of value * Factor^place before each place, and Factor^-place."""
     up, down = POWERS.upto(len(values))
     sums = np.empty(len(values) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(values * up[: len(values)], out=sums[1:])
+    return sums, down
+
+
+def range_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Fingerprints of values[start:end], equal for equal content wherever it lies."""
+    sums, down = prefix_sums(values)
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
@@ -159,8 +165,8 @@ def grams(prints: np.ndarray, size: int) -> np.ndarray:
     found = np.empty(n, dtype=np.uint64)
     for at in range(0, n, BLOCK):
         part = prints[at : min(at + BLOCK + size - 1, len(prints))]
-        starts = np.arange(len(part) - size + 1)
-        found[at : at + BLOCK] = range_sums(part, starts, starts + size)
+        sums, down = prefix_sums(part)
+        found[at : at + BLOCK] = mix((sums[size:] - sums[:-size]) * down[: len(part) - size + 1])
     return found
 
 

@@ -8,12 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import ranges, stored
 
 HITS = "key long, a long, b long"
-#: Star rounds go on while the pairs left over are more than this many times the members.
-PAIRS_PER_MEMBER = 20
-STAR_ROUNDS = 6
+#: Set elements of the x and y sides of a block.
+X_ELEMENTS, Y_ELEMENTS = 60_000, 400_000
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,40 +91,116 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
-def verified_components(hits: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(id, component) over the links that ``verify`` confirms among pairs that share a key.
-
-    ``hits``: stored (key, a, b). ``verify``: pairs (a, b) to those that are links. First every id is
-    compared with the smallest of its keys. Ids of one key that are still in different components are
-    compared with a further member, round by round, and at last with all that are left: a pair that
-    shares a key is left out only if its ids are already in one component.
+def _links_of_block(ids, placed, is_x, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the x and the y sets of a block in different components, one for each (x, component)."""
+    size = np.array([len(s) for s in sets])
+    xs, ys = np.flatnonzero(is_x), np.flatnonzero(~is_x)
+    element, of = np.concatenate([sets[k] for k in xs]), np.repeat(np.arange(len(xs)), size[xs])
+    by = np.argsort(element, kind="stable")
+    element, of = element[by], of[by]
+    chosen: dict[tuple[int, int], int] = {}
+    for y in ys:
+        low, high = np.searchsorted(element, sets[y], side="left"), np.searchsorted(element, sets[y], side="right")
+        common = np.bincount(of[ranges(low, high - low)], minlength=len(xs))
+        fits = (100 * common >= percent * (size[xs] + size[y] - common)) & (common > 0) & (placed[xs] != placed[y])
+        for k in np.flatnonzero(fits):
+            link = (int(ids[xs[k]]), int(placed[y]))
+            chosen[link] = min(chosen.get(link, int(ids[y])), int(ids[y]))
+    return [(x, y) for (x, _), y in chosen.items()]
+
+
+def _block_links(read: Callable[[pa.Array], list[np.ndarray]], percent: int):
+    """Rows sorted by block as a stream; a block is worked on when its last row has come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def done(rows: pa.Table) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            blocks = np.stack([rows[c].to_numpy() for c in ("main", "x_block", "y_block")])
+            starts = np.flatnonzero(np.append(True, (blocks[:, 1:] != blocks[:, :-1]).any(axis=0)))
+            ids, placed, is_x = (rows[c].to_numpy() for c in ("id", "c", "is_x"))
+            links = []
+            for at, to in _few(starts, rows.num_rows):
+                sets = read(rows["body"].slice(at, to - at).combine_chunks())
+                own = starts[(starts >= at) & (starts < to)]
+                for a, b in zip(own, np.append(own[1:], to)):
+                    if 0 < is_x[a:b].sum() < b - a:
+                        links += _links_of_block(ids[a:b], placed[a:b], is_x[a:b], sets[a - at : b - at], percent)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            key = [table[c].to_numpy() for c in ("main", "x_block", "y_block")]
+            other = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
+            cut = int(other[-1]) + 1 if len(other) else 0  # the last block may go on
+            first = tuple(k[0] for k in key)
+            if held and tuple(held[0][c][0].as_py() for c in ("main", "x_block", "y_block")) != first:
+                yield done(pa.concat_tables(held))
+                held = []
+            if cut:
+                yield done(pa.concat_tables([*held, table.slice(0, cut)]))
+                held = []
+            held.append(table.slice(cut))
+        if held:
+            yield done(pa.concat_tables(held))
+
+    return run
+
+
+def _few(starts: np.ndarray, n: int, rows: int = 2000) -> Iterator[tuple[int, int]]:
+    """Runs of whole blocks of about ``rows`` rows."""
+    at = 0
+    while at < n:
+        later = starts[starts >= at + rows]
+        to = int(later[0]) if len(later) else n
+        yield at, to
+        at = to
+
+
+def verified_components(
+    hits: DataFrame, verify: Callable[[DataFrame], DataFrame], items: DataFrame, read: Callable[[pa.Array], list[np.ndarray]], percent: int
+) -> DataFrame:
+    """(id, component) over the links among ids that share a key.
+
+    ``hits``: stored (key, a, b). ``verify``: pairs (a, b) to those that are links. ``items``: (id,
+    size, body), where ``read`` turns bodies into sorted sets.
+
+    First every id is compared with the smallest of its keys: most copies find their component so.
+    Ids of a key that are then outside its largest component are compared with all of that component
+    and with each other, in blocks of bounded size. A block counts common elements by an index of its
+    x sets and hands on one link for each id and component, so no list of pairs is ever made, and only
+    ids that are already in one component go uncompared.
     """
-    pairs = hits.select("a", "b").distinct()
-    edges = stored(verify(pairs), "links")
-    tested = pairs
-    members = stored(hits.select("key", F.col("a").alias("id")).union(hits.select("key", F.col("b").alias("id"))).distinct(), "members")
-    for nth in range(STAR_ROUNDS + 1):
-        found = components(edges)
-        placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-        sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
-        per_key = sizes.groupBy("key").agg(F.sum("n").alias("n"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).filter("pairs > 0")
-        left, n = per_key.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not left:
-            return found
-        open_ = placed.join(per_key.select("key"), "key", "left_semi")
-        last = left <= PAIRS_PER_MEMBER * n or nth == STAR_ROUNDS
-        if last:
-            x = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
-            y = open_.select(F.col("key").alias("k"), F.col("id").alias("b"), F.col("c").alias("cb"))
-            more = x.join(y, (F.col("key") == F.col("k")) & (F.col("ca") < F.col("cb")))
-        else:
-            chosen = open_.groupBy("key").agg(F.min_by(F.struct("id", "c"), F.xxhash64("id", F.lit(nth))).alias("m"))
-            more = open_.join(chosen, "key").select(F.col("id").alias("a"), F.col("c").alias("ca"), F.col("m.id").alias("b"), F.col("m.c").alias("cb")).filter("ca <> cb")
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        fresh = stored(verify(more), "links")
-        grown = fresh.limit(1).count() > 0
-        edges, tested = edges.union(fresh), tested.union(more)
-        if last:
-            return components(edges) if grown else found
-    raise AssertionError
+    edges = stored(verify(hits.select("a", "b").distinct()), "links")
+    found = stored(components(edges), "components")
+    members = hits.select("key", F.col("a").alias("id")).union(hits.select("key", F.col("b").alias("id"))).distinct()
+    placed = stored(members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "members")
+    largest = F.max_by("c", F.struct("n", -F.col("c")))
+    per_key = placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), largest.alias("main"))
+    # the two ids of a small key have been compared
+    open_ = per_key.filter("parts > 1 and n > 2").select("key", "main")
+    left = stored(placed.join(open_, "key").filter("c <> main").select("main", "id", "c").distinct(), "left-over")
+    if not left.limit(1).count():
+        return found
+    mains = left.select("main").distinct()
+    of_main = mains.join(found.select(F.col("component").alias("main"), "id"), "main").select("main", "id", F.col("main").alias("c"))
+    alone = mains.select("main", F.col("main").alias("id"), F.col("main").alias("c"))
+    y_all = of_main.union(alone).union(left).distinct()
+    sides = left.withColumn("is_x", F.lit(True)).union(y_all.withColumn("is_x", F.lit(False)))
+    sized = stored(sides.join(items.select("id", "size"), "id").select("main", "id", "c", "is_x", "size"), "sides")
+    blocks = sized.groupBy("main").agg(
+        F.ceil(F.sum(F.when(F.col("is_x"), F.col("size"))) / X_ELEMENTS).cast("int").alias("bx"),
+        F.ceil(F.sum(F.when(~F.col("is_x"), F.col("size"))) / Y_ELEMENTS).cast("int").alias("by"),
+    )
+    dealt = sized.join(blocks, "main")
+    own = lambda n: F.array(F.pmod(F.xxhash64("id"), F.col(n)).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    dealt = dealt.withColumn("x_block", F.explode(F.when(F.col("is_x"), own("bx")).otherwise(every("bx"))))
+    dealt = dealt.withColumn("y_block", F.explode(F.when(F.col("is_x"), every("by")).otherwise(own("by"))))
+    block = ["main", "x_block", "y_block"]
+    full = dealt.select(*block, "id", "c", "is_x").join(items.select("id", "body"), "id").select(*block, "id", "c", "is_x", "body")
+    more = full.repartition(*block).sortWithinPartitions(*block).mapInArrow(_block_links(read, percent), "a long, b long")
+    return components(found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")).union(more))

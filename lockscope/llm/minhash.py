@@ -160,12 +160,17 @@ def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
-                found = pa.array([s.tobytes() for s in shingle_sets(batch, size)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), found], names=["id", "set"])
+                sets = shingle_sets(batch, size)
+                columns = [batch.column(batch.schema.get_field_index("doc_id")), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "body"])
 
     return run
 
 
+def read_sets(bodies: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in bodies]
+
+
 def confirmed(percent: int):
     """Pairs whose sets reach the similarity: 100 * common >= percent * union."""
 
@@ -192,7 +197,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     hits = stored(key_stars(chosen.select(F.col("doc_id").alias("id"), "bands")), "hits")
     ids = hits.select(F.col("a").alias("id")).union(hits.select(F.col("b").alias("id"))).distinct()
     of = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
-    sets = stored(of.mapInArrow(_sets(shingle), "id long, set binary"), "sets")
+    sets = stored(of.mapInArrow(_sets(shingle), "id long, size long, body binary"), "sets")
     known = sketched.join(ids, sketched["doc_id"] == ids["id"], "left_semi").filter("n_shingles > 0").select("doc_id", "n_shingles", "registers")
     known = stored(known, "registers")
 
@@ -201,11 +206,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         side = lambda x: known.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
         near = pairs.join(side("b"), "b").join(side("a"), "a").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
         near = near.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely(percent / 100), "a long, b long").distinct()
-        full = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}"))
+        full = lambda x: sets.select(F.col("id").alias(x), F.col("body").alias(f"s{x}"))
         full_ = near.join(full("b"), "b").join(full("a"), "a").select("a", "b", "sa", "sb")
         return full_.mapInArrow(confirmed(percent), "a long, b long")
 
-    found = verified_components(hits, verify)
+    found = verified_components(hits, verify, sets, read_sets, percent)
     # rows of one id that have different sets are linked by their id
     labelled = some.select("doc_id", *same).join(groups, same).join(found, F.col("first") == F.col("id"), "left")
     labels = labelled.groupBy("doc_id").agg(F.min(F.coalesce("component", "first")).alias("component"))
