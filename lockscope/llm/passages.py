@@ -28,6 +28,8 @@ from .common import WORD_VISIBLE, grams, range_sums, ranges, signed, slices, sto
 
 #: Distinct segments under one anchor that one task takes.
 HOT = 2000
+#: Windows of a segment, at most, in windows' lengths.
+LONGEST = 4
 #: Windows cut at once; packed with a fingerprint in 64 bits.
 PIECE = 1 << 19
 _PLACE = np.uint64((1 << 21) - 1)
@@ -80,7 +82,13 @@ def segments(prints: np.ndarray, rows: np.ndarray, unit: Unit) -> tuple[np.ndarr
         moved = np.zeros(len(starts), dtype=np.int64)
         moved[1:] = (place[1:] != place[:-1]) & ~new[1:]
         first = np.flatnonzero(new)
-        found.append((of[first], starts[first] + a - rows[of[first]], np.diff(np.append(first, len(starts))), anchor[first], np.add.reduceat(moved, first) > 0))
+        count, repeats = np.diff(np.append(first, len(starts))), np.add.reduceat(moved, first) > 0
+        # a periodic text can keep its anchor for very long: such a segment is cut
+        parts = -(-count // (LONGEST * unit.window))
+        offset = ranges(np.zeros(len(first), dtype=np.int64), parts) * LONGEST * unit.window
+        first, count, repeats = (np.repeat(x, parts) for x in (first, count, repeats))
+        count = np.minimum(count - offset, LONGEST * unit.window)
+        found.append((of[first], starts[first] + a - rows[of[first]] + offset, count, anchor[first], repeats))
     if not found:
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, empty, empty.view(np.uint64), empty > 0
