@@ -32,6 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows of text in an Arrow batch. A batch is held several times while it is worked on.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings for a running session; what the cluster sets itself is kept."""
+    apply_runtime_settings(spark)
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -39,13 +51,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
     spark = df.sparkSession
+    prepare(spark)
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    apply_runtime_settings(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

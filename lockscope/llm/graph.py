@@ -11,20 +11,18 @@ from pyspark.sql import DataFrame, functions as F
 from .common import ranges, stored
 
 HITS = "key long, a long, b long"
+#: Rows of a task among which equal keys are looked for before the shuffle.
+LOCAL_KEYS = 200_000
 #: Set elements of the x and y sides of a block.
 X_ELEMENTS, Y_ELEMENTS = 60_000, 400_000
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one task that share a key meet here: only the smallest id of a key goes on."""
-    for batch in batches:
-        keys = batch.column(1)
-        if isinstance(keys, pa.ListArray):
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            keys = keys.flatten()
-        else:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keys = keys.to_numpy(zero_copy_only=False)
+    held, size = [], 0
+
+    def done() -> pa.RecordBatch:
+        ids, keys = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((ids, keys))
         keys, ids = keys[order], ids[order]
         first = np.ones(len(keys), dtype=bool)
@@ -32,7 +30,18 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         smallest = ids[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))] if len(ids) else ids
         use = first | (ids != smallest)
         linked = pa.array(smallest[use], pa.int64(), mask=first[use])
-        yield pa.RecordBatch.from_arrays([pa.array(keys[use], pa.int64()), pa.array(ids[use], pa.int64()), linked], names=["key", "id", "linked"])
+        return pa.RecordBatch.from_arrays([pa.array(keys[use], pa.int64()), pa.array(ids[use], pa.int64()), linked], names=["key", "id", "linked"])
+
+    for batch in batches:
+        keys = batch.column(1)
+        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        held.append((ids, keys.flatten().to_numpy(zero_copy_only=False)))
+        size += len(ids)
+        if size >= LOCAL_KEYS:
+            yield done()
+            held, size = [], 0
+    if held:
+        yield done()
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
