@@ -3,8 +3,11 @@
 Cluster centres are fitted on a bounded sample; every vector goes to the shards of its nearest
 ``OVERLAP`` centres. A task builds a pruned neighbour graph over its shard. The adjacency lists of a
 vector are united over its shards. Then, in every shard, each vector is searched greedily from the
-medoid, and the search is widened along the edges as long as it finds vectors in range. All links
-are checked with cosines in double precision, so none is false; ``audit_recall`` measures what is missed.
+medoid, and the search is widened along the edges as long as it finds vectors in range. The edges of a
+group of more than ``POOL`` close vectors can all lie inside it, so a search can miss the groups
+around it: the task then compares its vectors in blocks and adds what the search has not reached.
+Cosines are in double precision, so no link is false, and none between vectors that share a shard is
+missed. Pairs that share no shard are not compared; ``audit_recall`` measures these.
 
 Equal vectors are one vertex with a count. A shard of more than ``SHARD_ROWS`` vectors is cut into
 blocks and searched by pairs of blocks, so no task holds more than two blocks. A pair is counted in
@@ -151,6 +154,11 @@ def search(vectors: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshol
     return found
 
 
+def complete(vectors: np.ndarray, queries: np.ndarray, found: np.ndarray, threshold: float) -> np.ndarray:
+    """``found`` with all other rows in range of each query, whether or not edges lead to them."""
+    return found | (vectors[queries] @ vectors.T >= threshold)
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=np.float64)
 
@@ -195,7 +203,7 @@ def _search(threshold: float):
         sources, targets = [], []
         for a in range(0, len(ids), 512):
             queries = np.arange(a, min(a + 512, len(ids)))
-            found = search(vectors, graph, queries, threshold)
+            found = complete(vectors, queries, search(vectors, graph, queries, threshold), threshold)
             found[np.arange(len(queries)), queries] = False
             who, where = np.nonzero(found)
             who = who + a

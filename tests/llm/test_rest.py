@@ -213,6 +213,28 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert vectors.vector_duplicates(df.limit(0)).count() == 0
 
 
+def clumps(seed, groups, size, inner, outer, dims=64):
+    """Groups of distinct close vectors, all around one direction."""
+    r = np.random.default_rng(seed)
+    middle = vectors.unit(r.normal(size=(1, dims)))
+    direction = lambda n: vectors.unit(r.normal(size=(n, dims)))
+    near = vectors.unit(middle + outer * direction(groups))
+    return vectors.unit(np.repeat(near, size, axis=0) + inner * direction(groups * size))
+
+
+@pytest.mark.parametrize("shard_rows", [3000, 400])
+def test_links_between_tight_groups_of_hundreds(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(vectors, "SHARD_ROWS", shard_rows)
+    points = np.concatenate((clumps(0, 8, 100, 0.04, 0.19), clumps(1, 3, 200, 0.01, 0.12)))
+    true = points @ points.T >= 0.95
+    np.fill_diagonal(true, False)
+    group = np.concatenate((np.arange(800) // 100, 8 + np.arange(600) // 200))
+    assert (true & (group[:, None] != group[None, :])).sum() > true.sum() / 2
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.vector_duplicates(df).collect()}
+    assert [got[i] for i in range(len(points))] == true.sum(axis=1).tolist()
+
+
 def test_graph_search_finds_what_is_in_range():
     r = np.random.default_rng(0)
     points = vectors.unit(np.array([v for _, v in cloud(5, 900)]))
