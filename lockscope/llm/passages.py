@@ -60,6 +60,8 @@ def segments(prints: np.ndarray, rows: np.ndarray, unit: Unit) -> tuple[np.ndarr
     found = []
     span = unit.window - unit.gram + 1
     for row, (a, b) in _pieces(rows, unit.window):
+        if b - a < unit.window:
+            continue  # no window fits
         part = prints[a:b]
         anchors = grams(part, unit.gram)
         packed = (anchors & ~_PLACE) | np.arange(len(anchors), dtype=np.uint64)

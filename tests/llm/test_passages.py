@@ -141,3 +141,14 @@ def test_segments_do_not_depend_on_the_cut(monkeypatch):
     assert set(whole) == {(0, k) for k in range(281)} | {(2, k) for k in range(71)}
     monkeypatch.setattr(passages, "PIECE", 64)
     assert windows() == whole
+
+
+@pytest.mark.parametrize("kind, window, gram", [("words", 50, 10), ("bytes", 400, 100)])
+def test_short_runs_of_rows(kind, window, gram):
+    unit = passages.Unit(kind, window, gram)
+    for total in range(window + 3):
+        prints = np.arange(1, total + 1, dtype=np.uint64)
+        for cut in {0, 1, total // 2, total} & set(range(total + 1)):
+            row, start, n, _, _ = passages.segments(prints, np.array([0, cut, total]), unit)
+            got = {(i, a + k) for i, a, m in zip(row.tolist(), start.tolist(), n.tolist()) for k in range(m)}
+            assert got == {(i, k) for i, m in enumerate([cut, total - cut]) for k in range(m - window + 1)}
