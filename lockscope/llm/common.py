@@ -170,6 +170,27 @@ def words(
     return prints, starts, ends, rows
 
 
+def coded_words(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Codes of all words (runs of bytes in ``letters`` inside one row), the distinct words, starts, and each row's first word.
+
+    Equal codes are equal words: no fingerprints.
+    """
+    inside = np.concatenate((letters[data], [False]))
+    first = inside[:-1].copy()
+    first[1:] &= ~inside[:-2]
+    begin = bounds[:-1][bounds[:-1] < len(data)]
+    first[begin] = inside[begin]
+    last = inside[:-1] & ~inside[1:]
+    final = bounds[1:][bounds[1:] > 0] - 1
+    last[final] = inside[final]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+    body = data[inside[:-1]]
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+    coded = found.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, starts, np.searchsorted(starts, bounds)
+
+
 def grams(prints: np.ndarray, size: int) -> np.ndarray:
     """Fingerprints of ``size`` consecutive values, by their first position."""
     n = len(prints) - size + 1

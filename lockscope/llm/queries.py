@@ -13,6 +13,7 @@ from .lines import line_report
 from .minhash import near_duplicates
 from .packing import pack
 from .pii import personal_data
+from .runs import run_report
 from .substring import substring_report
 from .suffixes import suffix_report
 from .vectors import vector_duplicates
@@ -85,3 +86,8 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(table(spark, sf_dir, "documents"), planted=True)
