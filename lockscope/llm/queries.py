@@ -12,6 +12,7 @@ from .langid import languages
 from .lines import line_report
 from .minhash import near_duplicates
 from .packing import pack
+from .phrases import collocations
 from .pii import personal_data
 from .runs import run_report
 from .substring import substring_report
@@ -91,3 +92,43 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(table(spark, sf_dir, "documents"), planted=True)
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), word AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w)) AS n FROM word GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM word WHERE len(w) > 0),
+gram AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM place, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE i + m - 1 <= len(w)
+), f AS (SELECT lang, m, phrase, count(*) AS a FROM gram GROUP BY lang, m, phrase HAVING count(*) >= 30),
+cut AS (
+  SELECT f.lang, f.phrase, f.a, string_split(f.phrase, ' ') AS w, k
+  FROM f, (VALUES (1), (2), (3)) AS spot(k) WHERE k < f.m
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+  FROM cut AS c
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT f.lang, f.a, array_to_string(string_split(f.phrase, ' ')[s:s + m2 - 1], ' ') AS phrase
+    FROM f, (VALUES (2), (3)) AS short(m2), (VALUES (1), (2), (3)) AS spot(s) WHERE m2 < f.m AND s + m2 - 1 <= f.m
+  ) GROUP BY lang, phrase
+)
+SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, t.phrase) AS rank,
+       t.phrase, a, l, r, total.n::BIGINT AS n, score::BIGINT AS score
+FROM lowest AS t JOIN total ON total.lang = t.lang LEFT JOIN longer AS o ON o.lang = t.lang AND o.phrase = t.phrase
+WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
