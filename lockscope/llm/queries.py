@@ -15,6 +15,7 @@ from .packing import pack
 from .phrases import collocations
 from .pii import personal_data
 from .runs import run_report
+from .simhash import fingerprint_report
 from .substring import substring_report
 from .suffixes import suffix_report
 from .vectors import vector_duplicates
@@ -132,3 +133,8 @@ FROM lowest AS t JOIN total ON total.lang = t.lang LEFT JOIN longer AS o ON o.la
 WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * a
 QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents"))
