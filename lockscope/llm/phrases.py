@@ -3,10 +3,11 @@
 A text's pieces (between punctuation and line ends) are split into words; phrases of 2 to ``LONGEST``
 words are counted for each language in which they stand ``least`` times.
 
-1. Candidates. Every pair's 64-bit key is counted and summed by Spark. Keys that reach ``least`` set a
+1. Candidates. Every pair's 58-bit key is counted and summed by Spark. Keys that reach ``least`` set a
    bit in a bitmap of ``BITS`` bits, which bounds what is sent to the tasks; two phrases with one key or
    one bit only let more candidates through. Longer phrases are keyed and counted where all their pairs
-   pass (Apriori), and the phrases whose own keys reach ``least`` are listed with their words.
+   pass (Apriori), and the phrases whose own keys reach ``least`` are listed with their words: texts are
+   in 64 classes, and a phrase is listed from texts of one class in which it was seen.
 2. Counting. Candidates and their single words are dealt into blocks of about ``BLOCK`` phrases. Each
    block is a double-array trie, broadcast and held against all texts: a word is three steps of one
    byte of its number. The states of all text positions advance together, level by level, in numpy;
@@ -52,6 +53,7 @@ _ANY = np.ones(256, dtype=bool)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] = np.arange(0x61, 0x7B)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_SIX, _CLASS = np.uint64(6), np.uint64(63)
 
 
 class Words:
@@ -66,31 +68,35 @@ class Words:
         self.piece = np.cumsum(_BREAKS[data])[starts] + row
         langs = pc.dictionary_encode(batch.column(batch.schema.get_field_index("lang")).fill_null(UNKNOWN))
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[row]
+        self.rows = rows
 
     def together(self, at: np.ndarray, size: int) -> np.ndarray:
         """Which of the places start ``size`` words of one piece."""
         last = at + size - 1
         return (last < len(self.piece)) & (self.piece[np.minimum(last, len(self.piece) - 1)] == self.piece[at])
 
-    def keys(self, sizes: range, hot: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def keys(self, longest: int, hot: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(size, places, keys) of the phrases, those over two words only where ``hot`` has all their pairs."""
         if not len(self.codes):
             return
         prints = words(*text_bytes(self.distinct), _ANY, lower=False)[0][self.codes]
         langs = words(*text_bytes(pc.binary_join_element_wise("l", self.langs.cast(pa.string()), "")), _ANY, lower=False)[0][self.lang]
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(prints)))
+        self.kind = np.repeat(mix(sums[self.rows[1:]] - sums[self.rows[:-1]]) & _CLASS, np.diff(self.rows))
         at = np.arange(len(prints))
         at = at[self.together(at, 2)]
         key = mix(mix(mix(langs[at]) * _STEP + prints[at]) * _STEP + prints[at + 1])
-        if 2 in sizes:
-            yield 2, at, key
+        yield 2, at, key >> _SIX
+        if longest == 2:
+            return
         pair = np.zeros(len(prints) + LONGEST, dtype=bool)
-        pair[at] = hot is not None and has_bits(hot, key)
+        pair[at] = has_bits(hot, key >> _SIX)
         key, at = key[pair[at]], at[pair[at]]
-        for size in range(3, sizes[-1] + 1):
+        for size in range(3, longest + 1):
             use = self.together(at, size) & pair[at + size - 2]
             at = at[use]
             key = mix(key[use] * _STEP + prints[at + size - 1])
-            yield size, at, key
+            yield size, at, key >> _SIX
 
     def text(self, at: np.ndarray, size: int) -> pa.Array:
         """The phrases at the given places, as words joined by spaces."""
@@ -104,16 +110,18 @@ def has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Counts:
-    """Sums by key, held up to a number of keys."""
+    """Sums by key, and the smallest class each was seen in, held up to a number of keys."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray) -> bool:
+    def add(self, keys: np.ndarray, kind: np.ndarray) -> bool:
         """Whether the sums should be handed on."""
-        self.parts.append(np.unique(keys, return_counts=True))
-        self.size += len(self.parts[-1][0])
+        packed = np.sort((keys << _SIX) | kind)
+        first = _first(packed)
+        self.parts.append((packed[first], np.diff(np.append(first, len(packed)))))
+        self.size += len(first)
         if self.size <= HELD:
             return False
         self.parts = [self.sums()]
@@ -123,13 +131,22 @@ class Counts:
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-        keys, use = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-        return keys, np.bincount(use, np.concatenate([n for _, n in self.parts])).astype(np.int64)
+        packed, n = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(packed)
+        packed, n = packed[order], n[order]
+        first = _first(packed)
+        return packed[first], np.add.reduceat(n, first) if len(first) else n
 
     def drain(self) -> pa.RecordBatch:
-        keys, n = self.sums()
+        packed, n = self.sums()
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], names=["key", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(signed(packed >> _SIX)), pa.array(signed(packed & _CLASS)), pa.array(n, pa.int64())], names=["key", "kind", "n"])
+
+
+def _first(packed: np.ndarray) -> np.ndarray:
+    """Where each key starts in sorted keys with classes."""
+    keys = packed >> _SIX
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), dtype=bool), keys[1:] != keys[:-1])))
 
 
 def _count_keys(sizes: range, hot: np.ndarray | None):
@@ -137,43 +154,48 @@ def _count_keys(sizes: range, hot: np.ndarray | None):
         counts = Counts()
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
-                for size, _, keys in Words(batch).keys(range(2, sizes[-1] + 1), hot):
-                    if size in sizes and counts.add(keys):
+                text = Words(batch)
+                for size, at, keys in text.keys(sizes[-1], hot):
+                    if size in sizes and counts.add(keys, text.kind[at]):
                         yield counts.drain()
         yield counts.drain()
 
     return run
 
 
-def _list_phrases(hot: np.ndarray):
-    """(lang, phrase, key) of the phrases whose bits are set, mostly once for each task."""
+def _list_phrases(pairs: np.ndarray, seen: np.ndarray):
+    """(lang, phrase, key) of the phrases that a text's class has to list, mostly once for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told = np.empty(0, dtype=np.uint64)
+        told: set[int] = set()
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 text = Words(batch)
-                for size, at, keys in text.keys(range(2, LONGEST + 1), hot):
-                    use = has_bits(hot, keys)
+                for size, at, keys in text.keys(LONGEST, pairs):
+                    use = np.flatnonzero(has_bits(seen, (keys << _SIX) | text.kind[at]))
                     keys, first = np.unique(keys[use], return_index=True)
-                    new = told[np.minimum(np.searchsorted(told, keys), len(told) - 1)] != keys if len(told) else np.ones(len(keys), dtype=bool)
-                    keys, at = keys[new], at[use][first[new]]
+                    new = [k for k, key in enumerate(keys.tolist()) if key not in told]
+                    keys, at = keys[new], at[use[first[new]]]
                     yield pa.RecordBatch.from_arrays([text.langs.take(pa.array(text.lang[at])).cast(pa.string()), text.text(at, size).cast(pa.string()), pa.array(signed(keys))], names=["lang", "phrase", "key"])
-                    told = np.union1d(told, keys) if len(told) < HELD else keys
+                    if len(told) > HELD // 4:
+                        told.clear()
+                    told.update(keys.tolist())
 
     return run
 
 
 def frequent_keys(docs: DataFrame, sizes: range, hot: np.ndarray | None, least: int) -> DataFrame:
-    keys = docs.mapInArrow(_count_keys(sizes, hot), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return stored(keys.filter(F.col("n") >= least).select("key"), "phrase-keys")
+    """(key, kind): keys that may stand ``least`` times, with a class of texts that has each."""
+    counts = docs.mapInArrow(_count_keys(sizes, hot), "key long, kind long, n long")
+    sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.min("kind").alias("kind"))
+    return stored(sums.filter(F.col("n") >= least).select("key", "kind"), "phrase-keys")
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """The keys as bits: at most BITS / 64 numbers come to the driver."""
-    word = F.shiftrightunsigned("key", 6).bitwiseAND(F.lit(BITS // 64 - 1))
-    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
-    found = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+def bitmap(numbers: DataFrame) -> np.ndarray:
+    """The numbers in column ``number`` as bits: at most BITS / 64 rows come to the driver."""
+    word = F.shiftrightunsigned("number", 6).bitwiseAND(F.lit(BITS // 64 - 1))
+    bit = F.expr("shiftleft(1L, cast(number & 63 as int))")
+    found = numbers.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros(BITS // 64, dtype=np.int64)
     bits[found["word"].to_numpy()] = found["bits"].to_numpy()
     return bits.view(np.uint64)
@@ -182,9 +204,10 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 def candidates(docs: DataFrame, least: int) -> DataFrame:
     """(lang, phrase): all phrases that may stand ``least`` times, and their words."""
     pairs = frequent_keys(docs, range(2, 3), None, least)
-    longer = frequent_keys(docs, range(3, LONGEST + 1), bitmap(pairs), least)
-    hot = pairs.union(longer)
-    listed = docs.mapInArrow(_list_phrases(bitmap(hot)), "lang string, phrase string, key long")
+    hot_pairs = bitmap(pairs.select(F.col("key").alias("number")))
+    hot = pairs.union(frequent_keys(docs, range(3, LONGEST + 1), hot_pairs, least))
+    seen = bitmap(hot.select(F.shiftleft("key", 6).bitwiseOR(F.col("kind")).alias("number")))
+    listed = docs.mapInArrow(_list_phrases(hot_pairs, seen), "lang string, phrase string, key long")
     listed = stored(listed.distinct().join(hot, "key", "left_semi").select("lang", "phrase"), "phrases")
     single = listed.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
     return stored(listed.union(single), "candidates")
@@ -218,18 +241,17 @@ class Trie:
         del self.cell
 
     def _place(self, count: int, parent: np.ndarray, symbol: np.ndarray) -> None:
-        """Cells for all nodes: wide families first, each at the first place tried that has its cells free."""
+        """Cells for all nodes: wide families first, each at the next place that has its cells free; only children fill the gaps."""
         roots = len(self.roots)
         by = np.lexsort((symbol, parent))
         family, first, size = np.unique(parent[by], return_index=True, return_counts=True)
         used = np.zeros(roots + 4 * count + 1024, dtype=bool)
         used[:roots] = True
         base = np.zeros(count, dtype=np.int64)
-        low, sorted_ = roots, symbol[by]
+        at, sorted_ = roots, symbol[by]
         many = np.flatnonzero(size > 1)
         for k in many[np.argsort(-size[many], kind="stable")].tolist():
             own = sorted_[first[k] : first[k] + size[k]]
-            at = low
             while True:
                 tried = at + np.flatnonzero(~used[at : at + 512])
                 free = tried[~used[tried[:, None] + (own - own[0])].any(axis=1)] if len(tried) else tried
@@ -240,8 +262,6 @@ class Trie:
                     used = np.concatenate((used, np.zeros(len(used), dtype=bool)))
             base[family[k]] = free[0] - own[0]
             used[base[family[k]] + own] = True
-            if at > low and used[low : at].mean() > 0.9:
-                low = at
         alone = np.flatnonzero(size == 1)
         free = np.flatnonzero(~used[roots:])[: len(alone)] + roots
         if len(free) < len(alone):
