@@ -57,20 +57,16 @@ def terms(words: Column) -> Column:
     )
 
 
-def _votes(hash_: Column, weight: Column) -> list[Column]:
+def _votes(hash_: str, weight: str) -> list[Column]:
     """Sums that hold the votes for 1 of bits j and j + 32."""
-    return [F.sum(F.shiftrightunsigned(hash_, j).bitwiseAND(F.lit(_LANES)) * weight) for j in range(32)]
+    return [F.expr(f"sum((shiftrightunsigned({hash_}, {j}) & {_LANES}L) * {weight})") for j in range(32)]
 
 
-def _bits(votes: list[Column], total: Column) -> Column:
+def _bits(votes: list[str], total: str) -> Column:
     """The 64 bits: 1 where more than half of the votes say so."""
-    out = F.lit(0).cast("long")
-    for j, v in enumerate(votes):
-        low, high = v.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(v, 32)
-        out = out.bitwiseOR(F.when(low * 2 > total, F.lit(1 << j)).otherwise(F.lit(0)))
-        top = (1 << (j + 32)) - (1 << 64 if j == 31 else 0)
-        out = out.bitwiseOR(F.when(high * 2 > total, F.lit(top)).otherwise(F.lit(0)))
-    return out
+    low = [f"if(({v} & {(1 << 32) - 1}L) * 2 > {total}, shiftleft(1L, {j}), 0L)" for j, v in enumerate(votes)]
+    high = [f"if(shiftrightunsigned({v}, 32) * 2 > {total}, shiftleft(1L, {j + 32}), 0L)" for j, v in enumerate(votes)]
+    return F.expr(" | ".join(low + high))
 
 
 def with_simhash(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -80,9 +76,9 @@ def with_simhash(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """
     words = rows.select(*keys, word_list(F.col(text)).alias("words"))
     term = words.select(*keys, F.explode_outer(terms(F.col("words"))).alias("t"))
-    votes = [v.alias(f"{h}{j}") for h in "ab" for j, v in enumerate(_votes(F.col(f"t.{h}"), F.col("t.w")))]
+    votes = [v.alias(f"{h}{j}") for h in "ab" for j, v in enumerate(_votes(f"t.{h}", "t.w"))]
     sums = term.groupBy(*keys).agg(F.sum("t.w").alias("total"), *votes)
-    half = lambda h: F.coalesce(_bits([F.col(f"{h}{j}") for j in range(32)], F.col("total")), F.lit(0).cast("long"))
+    half = lambda h: F.coalesce(_bits([f"{h}{j}" for j in range(32)], "total"), F.lit(0).cast("long"))
     return sums.select(*keys, half("a").alias("high"), half("b").alias("low"))
 
 
