@@ -44,6 +44,38 @@ def global_artifacts(references: DataFrame, order: str = "ord") -> DataFrame:
     return references.groupBy("artifact_id").agg(*firsts, F.count("*").alias("reference_count"))
 
 
+def artifact_state(references: DataFrame, order: str = "ord") -> DataFrame:
+    """What a batch of references adds to the artifact table, in a form that can be merged.
+
+    Each field is kept with the place of its first non-empty value: struct(at, value). ``order`` must rank
+    the references of all batches, so it cannot be a position inside one batch.
+    """
+    have = references.columns
+    firsts = [
+        F.min(F.when(non_blank(F.col(source)).isNotNull(), F.struct(F.col(order).alias("at"), F.col(source).alias("value")))).alias(name)
+        for name, source in MERGED_FIELDS.items()
+        if source in have
+    ]
+    return references.groupBy("artifact_id").agg(*firsts, F.count("*").alias("reference_count"))
+
+
+def merge_artifact_states(*states: DataFrame) -> DataFrame:
+    """States of batches as one. The result does not depend on their order, nor on how references were dealt out."""
+    merged = states[0]
+    for state in states[1:]:
+        merged = merged.unionByName(state, allowMissingColumns=True)
+    fields = [c for c in merged.columns if c not in ("artifact_id", "reference_count")]
+    return merged.groupBy("artifact_id").agg(
+        *[F.min(c).alias(c) for c in fields], F.sum("reference_count").alias("reference_count")
+    )
+
+
+def artifacts_of_state(state: DataFrame) -> DataFrame:
+    """The artifact table that ``global_artifacts`` gives for all references together."""
+    fields = [c for c in state.columns if c not in ("artifact_id", "reference_count")]
+    return state.select("artifact_id", *[F.col(f"{c}.value").alias(c) for c in fields], "reference_count")
+
+
 def artifact_refs(references: DataFrame) -> DataFrame:
     """Bridge artifact -> (profile, root); replaces a list of references per artifact."""
     return references.select("artifact_id", "profile_id", "dependency_root").distinct()

@@ -9,6 +9,8 @@ from ..functions.values import first_non_blank, non_blank
 from ..schemas import PARSED_FIELDS
 
 FILE_KEY = ["profile_id", "dependency_root", "filename"]
+#: What a Python helper holds of small files before it hands it on.
+HELD_ROWS, HELD_CHARS = 10_000, 8 << 20
 
 
 def parsed_columns(**values: Column) -> list[Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.specs import REGISTRY_BASE, classify_spec, registry_url, split_pnpm_locator
 from ..functions.values import after, first_non_blank, json_fields, json_string, non_blank, string_map, text_of, truthy
-from .parsed import FILE_KEY, file_text, parsed_columns
+from .parsed import FILE_KEY, HELD_CHARS, HELD_ROWS, file_text, parsed_columns
 
 SECTIONS = ("packages", "snapshots", "patchedDependencies")
 _ENTRY = (
@@ -20,10 +20,12 @@ _ENTRY = (
 
 
 def _yaml_reader(
-    sections: tuple[str, ...], columns: list[str]
+    sections: tuple[str, ...], columns: list[str], rows: int = HELD_ROWS, chars: int = HELD_CHARS
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """YAML text -> (section, position, key, value as JSON). Spark has no YAML reader.
 
+    Files are handed on together, about ``rows`` entries or ``chars`` characters at a time.
+
     A closure travels with the plan: workers need no copy of this package.
     """
 
@@ -31,6 +33,7 @@ def _yaml_reader(
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        held, size = [], 0
         for batch in batches:
             for *key, text in batch.itertuples(index=False):
                 out = []
@@ -44,7 +47,12 @@ def _yaml_reader(
                                 out.append((*key, section, pos, str(name).encode("utf-8", "replace").decode(), said))
                 except Exception:  # whatever a file holds, it is that file's problem
                     out = [(*key, "broken", 0, None, None)]
-                yield pd.DataFrame(out, columns=columns)
+                held.extend(out)
+                size += len(text or "")
+                if len(held) >= rows or size >= chars:
+                    yield pd.DataFrame(held, columns=columns)
+                    held, size = [], 0
+        yield pd.DataFrame(held, columns=columns)
 
     return read
 

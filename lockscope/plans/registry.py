@@ -23,8 +23,12 @@ class Tables:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
     def dealt(self, name: str, *columns: str) -> DataFrame:
-        """Narrow rows of a table, dealt out by their first column before each becomes a long text."""
-        return getattr(self, name).select(*columns).repartition(F.col(columns[0]))
+        """Narrow rows of a table, dealt out by their first column before each becomes a long text.
+
+        The number of parts is given: adaptive execution would join narrow ones into one task.
+        """
+        parts = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        return getattr(self, name).select(*columns).repartition(parts, F.col(columns[0]))
 
 
 def query(sql: str | None) -> Callable:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits hot join keys and merges small shuffle partitions.
 SETTINGS = {
@@ -35,3 +37,19 @@ def build_session(app: str = "lockscope", master: str | None = None, **extra: st
     for key, value in {**SETTINGS, **RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed and kept in the shared folder of ``spark.checkpoint.dir``.
+
+    Only a local session without that setting makes a folder of its own.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="lockscope-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
