@@ -77,7 +77,7 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_duplicates(table(spark, sf_dir, "embeddings"))
+    return vector_duplicates(table(spark, sf_dir, "embeddings"), audit=50)
 
 
 @query
