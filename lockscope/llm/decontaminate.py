@@ -12,12 +12,13 @@ items count once; other columns are kept by ``decontaminate`` and ignored elsewh
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WORD_LETTERS, ranges, slices, text_bytes, words
+from .common import WORD_LETTERS, ranges, slices, stored, text_bytes, words
 
 #: Test items travel to the tasks in blocks of about this many bytes; each block is one pass.
 ITEM_BLOCK = 8 << 20
@@ -25,6 +26,7 @@ SHARD_BYTES = 4 << 20
 SHARD_WORDS = 1 << 20
 
 _MATCH = "array<struct<item_id:string,item_start:int,doc_start:int,n_words:int>>"
+_ADDED = ("matches", "n_words", "n_hit")
 
 
 class TestSuffixes:
@@ -75,6 +77,8 @@ def suffix_array(numbers: np.ndarray, depth: int) -> np.ndarray:
     """Positions with a number over 0, by their first ``depth`` numbers (prefix doubling)."""
     at = np.flatnonzero(numbers)
     rank = np.concatenate((numbers, np.zeros(depth, dtype=np.int64)))
+    if len(at) and numbers.max() >> 20:  # ranks have 20 bits: a shard has fewer words than that
+        rank[at] = np.unique(numbers[at], return_inverse=True)[1] + 1
     index = np.arange(len(at), dtype=np.int64)
     order, reach = index, 1
     while reach < depth and len(at):
@@ -196,14 +200,28 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, text: str
     A match has at least ``window`` words, or a whole item that is shorter. Existing columns of these
     three names are replaced.
     """
-    blocks = list(item_blocks(items, block_bytes)) or [[]]
-    df = docs.withColumns({"matches": F.lit(None).cast(_MATCH), "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long")})
-    for k, rows in enumerate(blocks):
-        tests = TestSuffixes(rows, window)
-        keep = keep_text or k + 1 < len(blocks)
-        out = df if keep else df.drop(text)
-        df = df.mapInArrow(_one_pass(tests, text, keep), out.schema)
-    return df
+    plain = [c for c in docs.columns if c not in _ADDED]
+    start = {"matches": F.lit(None).cast(_MATCH), "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long")}
+    blocks = item_blocks(items, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        df = docs.withColumns(start)
+        out = df if keep_text else df.drop(text)
+        return df.mapInArrow(_one_pass(TestSuffixes(first, window), text, keep_text), out.schema)
+    # one block at a time: what a pass finds is written under the number of the row, then the block is let go
+    rows = stored(docs.select(*plain).withColumn("_at", F.monotonically_increasing_id()), "documents")
+    kept = rows.select("_at", text).withColumns(start)
+    found = None
+    for block in chain([first, second], blocks):
+        part = kept.mapInArrow(_one_pass(TestSuffixes(block, window), text, False), kept.drop(text).schema)
+        part = stored(part.filter("n_hit > 0").select("_at", "matches"), "matches")
+        found = part if found is None else found.union(part)
+    joined = found.groupBy("_at").agg(F.flatten(F.collect_list("matches")).alias("matches"))
+    df = rows.join(joined, "_at", "left")
+    out = df.select(*plain, F.col("matches").cast(_MATCH).alias("matches"), start["n_words"].alias("n_words"), start["n_hit"].alias("n_hit"))
+    # an empty test set adds no match, puts them in order, and counts the words and the words hit
+    last = out if keep_text else out.drop(text)
+    return out.mapInArrow(_one_pass(TestSuffixes([], window), text, keep_text), last.schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:

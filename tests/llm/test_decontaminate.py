@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -87,6 +88,35 @@ def test_real_tables(spark):
     assert any(r.contaminated for r in rows.values())
 
 
+def test_blocks_of_items_one_at_a_time(spark, monkeypatch):
+    from lockscope.llm import decontaminate as module
+
+    r = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(30)]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.choice([1, 3, 10, 14])))) for k in range(40)]
+    docs = [(k, " ".join(r.choices(vocabulary, k=60)) + " " + r.choice(items)[1]) for k in range(30)] + [(30, None), (30, ""), (None, items[0][1])]
+    df = spark.createDataFrame([(*d, "m") for d in docs], "doc_id long, text string, matches string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    many = module.find_matches(df, tests, block_bytes=200)
+    assert many.columns == module.find_matches(df, tests).columns
+    key = lambda x: repr(x)
+    assert sorted(many.collect(), key=key) == sorted(module.find_matches(df, tests).collect(), key=key)
+
+
+def test_ranks_past_20_bits():
+    import numpy as np
+
+    from lockscope.llm import decontaminate as module
+
+    r = np.random.default_rng(0)
+    numbers = r.integers(0, 3_000_000, 5000)
+    numbers[2000:2600] = numbers[100:700]
+    at = module.suffix_array(numbers, 16)
+    padded = np.concatenate((numbers, np.zeros(16, dtype=np.int64)))
+    text = [tuple(padded[k : k + 16]) for k in at]
+    assert text == sorted(text) and sorted(at.tolist()) == np.flatnonzero(numbers).tolist()
+
+
 def test_empty_tables_and_small_shards(spark, monkeypatch):
     docs = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
