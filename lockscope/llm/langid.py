@@ -8,7 +8,8 @@ A word's likelihood under a language is the product over its trigrams. For each
 expectation-maximisation over its words estimates the share of each language. The language set is
 the one of the k most frequent languages, k = 1, 2, ..., whose likelihood less a penalty of half
 the logarithm of the number of words for each further language is largest. The language with the
-largest share in that set is predicted; the share is the score.
+largest share in that set is predicted; the share is the score. A text that the set explains no better than
+trigrams drawn blindly is not explained: it has a prediction, but ``with_language`` leaves it out.
 
 Defined results: null text, empty text and text without letters give ``und`` with score 0, and so
 does every text where nothing was learned; documents without a language or an id are not learned
@@ -31,8 +32,6 @@ GRAMS = 1 << 18
 MAX_LANGUAGES = 256
 UNDETERMINED = "und"
 SMOOTHING = 0.5
-#: Languages in a document's set at most.
-SET_SIZE = 4
 ROUNDS, MOVED = 15, 1e-3
 SLICE_BYTES = 1 << 20
 
@@ -127,8 +126,8 @@ def _em(share: np.ndarray, chance: np.ndarray, doc: np.ndarray, first: np.ndarra
     return share, np.add.reduceat(np.log((share[doc] * chance).sum(axis=1)), first)
 
 
-def mixtures(log_chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Shares of the languages in the chosen set of each document; ``sizes`` (over 0) gives its words."""
+def mixtures(log_chance: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages in the chosen set of each document, and the penalised log likelihood; ``sizes`` (over 0) gives its words."""
     n_lang = log_chance.shape[1]
     first = np.cumsum(sizes) - sizes
     doc = np.repeat(np.arange(len(sizes)), sizes)
@@ -145,7 +144,7 @@ def mixtures(log_chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     value = alone[np.arange(len(sizes)), best]
     # no set can gain more than all languages together do
     open_ = full + base - penalty > value
-    for k in range(2, min(SET_SIZE, n_lang) + 1):
+    for k in range(2, n_lang + 1):
         if not open_.any():
             break
         rows = np.flatnonzero(open_)
@@ -160,7 +159,7 @@ def mixtures(log_chance: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         value[rows[better]] = found[better]
         chosen[rows[better]] = got[better]
         open_ &= full + base - k * penalty > value
-    return chosen
+    return chosen, value
 
 
 def _predict(model: Model):
@@ -177,15 +176,19 @@ def _predict(model: Model):
                 for i in np.flatnonzero(~known & (sizes > 0)):
                     known[i] = any(c.isalpha() for c in texts[int(i)].as_py())
                 shares = np.zeros((batch.num_rows, max(1, len(model.languages))))
+                explained = np.zeros(batch.num_rows, dtype=bool)
                 if model.languages and known.any():
                     grams, counts = grams_of(data, starts, ends)
                     each = np.add.reduceat(model.table[grams].astype(np.float64), np.cumsum(counts) - counts, axis=0)
-                    shares[known] = mixtures(each[use[np.repeat(known, sizes)]], sizes[known])
+                    words_ = use[np.repeat(known, sizes)]
+                    shares[known], value = mixtures(each[words_], sizes[known])
+                    trigrams = np.add.reduceat(counts[words_], np.cumsum(sizes[known]) - sizes[known])
+                    explained[known] = value > -np.log(GRAMS) * trigrams
                 best = shares.argmax(axis=1)
                 pred = [model.languages[k] if s else UNDETERMINED for k, s in zip(best, shares.any(axis=1))]
                 names = model.languages
                 sets = [{names[k]: float(s[k]) for k in np.flatnonzero(s)} if names else {} for s in shares]
-                done = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(np.minimum(shares.max(axis=1), 1.0)), "shares": pa.array([list(x.items()) for x in sets], pa.map_(pa.string(), pa.float64()))}
+                done = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(np.minimum(shares.max(axis=1), 1.0)), "shares": pa.array([list(x.items()) for x in sets], pa.map_(pa.string(), pa.float64())), "explained": pa.array(explained)}
                 order = [c for c in batch.schema.names if c not in done and c != "text"] + list(done)
                 yield pa.RecordBatch.from_arrays([done[c] if c in done else batch.column(batch.schema.get_field_index(c)) for c in order], names=order)
 
@@ -193,16 +196,19 @@ def _predict(model: Model):
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without its text, with ``lang_pred``, ``score`` and ``shares`` (language to share)."""
-    rest = docs.drop("lang_pred", "score", "shares")
-    schema = rest.drop("text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "shares": F.lit(None).cast("map<string,double>")}).schema
+    """``docs`` without its text, with ``lang_pred``, ``score``, ``shares`` (language to share) and ``explained``.
+
+    A text is explained if the chosen languages give it a higher likelihood than trigrams drawn blindly.
+    """
+    rest = docs.drop("lang_pred", "score", "shares", "explained")
+    schema = rest.drop("text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "shares": F.lit(None).cast("map<string,double>"), "explained": F.lit(True)}).schema
     return rest.mapInArrow(_predict(model), schema)
 
 
 def with_language(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """The documents, in all their columns, for which a language is found."""
+    """The documents, in all their columns, that a language or a mixture of languages explains."""
     inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
-    return identify(inner, learn(labelled)).filter(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    return identify(inner, learn(labelled)).filter((F.col("lang_pred") != UNDETERMINED) & F.col("explained")).select("row.*")
 
 
 def languages(docs: DataFrame) -> DataFrame:

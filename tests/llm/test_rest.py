@@ -44,6 +44,27 @@ def test_mixtures_name_both_languages(spark):
     assert langid.with_language(docs.withColumn("shares", F.lit(1)), docs).count() == docs.count()
 
 
+def test_texts_that_no_language_explains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    r = np.random.default_rng(0)
+    noise = [(-1 - k, " ".join("".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(3, 12))) for _ in range(n)), "en") for k, n in enumerate([5, 40, 400])]
+    noise += [(-10, "zzzzzzzz qqqqqq xxxxxxx", None), (-11, "日本語の文章です", None)]
+    both = docs.union(spark.createDataFrame(noise, docs.schema))
+    kept = {x.doc_id for x in langid.with_language(both, docs).select("doc_id").collect()}
+    assert kept == {x.doc_id for x in docs.select("doc_id").collect()}
+
+
+def test_sets_of_many_languages(spark):
+    letters = "abcdefghijklmnop"
+    word = lambda k, r: "".join(r.choice([letters[2 * k], letters[2 * k + 1]], 6))
+    r = np.random.default_rng(2)
+    rows = [(k, " ".join(word(k, r) for _ in range(400)), f"l{k}") for k in range(8)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    text = " ".join(word(k, r) for k in range(7) for _ in range(60))
+    (row,) = langid.identify(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert set(row.shares) == {f"l{k}" for k in range(7)} and abs(row.score - 1 / 7) < 0.01
+
+
 def test_language_without_anything_to_learn(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[1:4] for r in langid.languages(docs).collect()] == [(False, "und", 0.0)]
@@ -54,7 +75,7 @@ def test_mixture_against_brute_force():
     r = np.random.default_rng(0)
     sizes = np.array([30, 1, 200])
     log = np.log(r.dirichlet([0.5] * 3, sizes.sum()))
-    got = langid.mixtures(log, sizes)
+    got, _ = langid.mixtures(log, sizes)
     for k, (a, b) in enumerate(zip(np.cumsum(sizes) - sizes, np.cumsum(sizes))):
         value = lambda s: np.log(np.maximum(np.exp(log[a:b]) @ s, 1e-300)).sum()  # noqa: E731,B023
         grid = [np.array(s) / 40 for s in itertools.product(range(41), repeat=3) if sum(s) == 40]
