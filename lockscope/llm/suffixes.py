@@ -5,7 +5,8 @@ separator. A suffix that is smaller than its successor is of type S, else L. Onl
 sorted directly: the text from one S place to the next gets a name in its order, and the sequence of
 names is sorted by prefix doubling until ``window`` bytes are covered. The L suffixes are induced by
 scanning the buckets of first bytes in order: the suffix before a sorted one goes to the end of what
-its bucket has so far. Neighbours in the order that share ``window`` bytes are repeats.
+its bucket has so far. The common prefixes of neighbours in the order are computed from the text;
+neighbours that share ``window`` bytes are repeats.
 
 Order matters only up to ``window`` bytes; suffixes that agree that far are neighbours in any order.
 
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import grams, slices, text_bytes
+from .common import slices, text_bytes
 from .passages import Unit, indexed, merged, shared_segments, with_ranges
 
 WINDOW, GRAM = 400, 100
@@ -159,6 +160,40 @@ def suffix_array(text: np.ndarray, window: int) -> np.ndarray:
     return induce(text, smaller, sort_smaller(text, smaller, window))
 
 
+def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each place the length of its suffix's common prefix with the suffix before it in order, up to a separator (0).
+
+    Where a suffix and the one before it only go on from the pair one place earlier, the length is that
+    pair's less one. All others are compared in the text, eight bytes at a time.
+    """
+    n = len(text)
+    before = np.full(n, -1, dtype=np.int64)
+    before[order[1:]] = order[:-1]
+    goes_on = np.zeros(n, dtype=bool)
+    last = before[:-1]
+    goes_on[1:] = (last >= 0) & (before[1:] == last + 1) & (text[:-1] == text[last]) & (text[:-1] != 0)
+    ends = np.flatnonzero(text == 0)
+    places = np.flatnonzero(~goes_on & (before >= 0))
+    others = before[places]
+    limit = np.minimum(ends[np.searchsorted(ends, places)] - places, ends[np.searchsorted(ends, others)] - others)
+    padded = np.concatenate(((np.maximum(text, 1) - 1).astype(np.uint8), np.zeros(16, dtype=np.uint8)))
+    eight = np.ndarray((n + 8,), dtype="<u8", buffer=padded, strides=(1,))
+    found, live, done = limit.copy(), np.flatnonzero(limit > 0), 0
+    while len(live):
+        differ = eight[places[live] + done] ^ eight[others[live] + done]
+        ended = differ != 0
+        stop = live[ended]
+        lowest = differ[ended] & (~differ[ended] + np.uint64(1))
+        found[stop] = np.minimum(limit[stop], done + (np.frexp(lowest.astype(np.float64))[1] - 1) // 8)
+        done += 8
+        live = live[~ended]
+        live = live[limit[live] > done]
+    first = np.zeros(n, dtype=np.int64)
+    first[places] = found
+    since = np.maximum.accumulate(np.where(goes_on, 0, np.arange(n)))
+    return first[since] - (np.arange(n) - since)
+
+
 def repeated_windows(window: int):
     """For ``passages.indexed``: windows that stand in several segments, several times in one, or in a repeated one."""
 
@@ -170,22 +205,15 @@ def repeated_windows(window: int):
         text = np.zeros(len(data) + count, dtype=np.int64)
         text[place] = data.astype(np.int64) + 1
         order = suffix_array(text, window)
-        ends = bounds[1:] + np.arange(count)
-        begins = ends - size
         segment = np.repeat(np.arange(count), size + 1)
-        local = np.arange(len(text)) - begins[segment]
-        whole = local + window <= size[segment]
-        prints = np.zeros(len(text), dtype=np.uint64)
-        found = grams(text.astype(np.uint64), window)
-        prints[: len(found)] = found
-        # neighbours share the window if their next ``window`` bytes are equal and inside their segments
-        a, b = order[:-1], order[1:]
-        same = whole[a] & whole[b] & (prints[a] == prints[b])
+        local = np.arange(len(text)) - (bounds[1:] + np.arange(count) - size)[segment]
+        # a suffix and the one before it in order stand twice if they share the window
+        shares = np.flatnonzero(common_prefixes(text, order)[order] >= window)
         again = np.zeros(len(text), dtype=bool)
-        again[a[same]] = True
-        again[b[same]] = True
-        again |= (copies > 1)[segment]
-        again &= whole & (local < n[segment])
+        again[order[shares]] = True
+        again[order[shares - 1]] = True
+        again |= (copies > 1)[segment] & (local + window <= size[segment])
+        again &= local < n[segment]
         edge = np.diff(np.concatenate(([0], again.astype(np.int8), [0])))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         return segment[first], local[first], local[last]

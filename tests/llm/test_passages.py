@@ -152,3 +152,19 @@ def test_short_runs_of_rows(kind, window, gram):
             row, start, n, _, _ = passages.segments(prints, np.array([0, cut, total]), unit)
             got = {(i, a + k) for i, a, m in zip(row.tolist(), start.tolist(), n.tolist()) for k in range(m)}
             assert got == {(i, k) for i, m in enumerate([cut, total - cut]) for k in range(m - window + 1)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_common_prefixes_of_neighbours(seed):
+    r = np.random.default_rng(seed)
+    parts = [r.integers(1, 4, r.integers(1, 60)) for _ in range(20)]
+    parts += [np.tile(parts[k][:7], 9) for k in range(3)] + parts[:6] + [np.concatenate(parts[2:5])]
+    text = np.concatenate([np.append(p, 0) for p in parts])
+    for order in (suffixes.suffix_array(text, 400), r.permutation(len(text))):
+        got = suffixes.common_prefixes(text, order)
+        for a, b in zip(order[1:].tolist(), order[:-1].tolist()):
+            n = 0
+            while text[a + n] and text[a + n] == text[b + n]:
+                n += 1
+            assert got[a] == n
+        assert got[order[0]] == 0
