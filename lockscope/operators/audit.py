@@ -10,6 +10,7 @@ from ..functions.integrity import blob_path, digest_of, digests_fit, fingerprint
 from ..functions.specs import is_network_type
 from ..functions.values import first_non_blank, json_document, json_string, non_blank
 from .dedup import usable_status
+from .skew import split_join
 
 
 def blob_digests(blobs: DataFrame) -> DataFrame:
@@ -67,7 +68,8 @@ def cache_coverage(artifacts: DataFrame, index: DataFrame) -> DataFrame:
     """Artifacts with ``by_integrity``, ``by_url`` and ``covered``.
 
     Two equality joins against distinct keys instead of one OR condition. A cached URL
-    may be spelled ``https:/host``: both spellings are keys of the right side.
+    may be spelled ``https:/host``: both spellings are keys of the right side. Artifacts without
+    integrity or source take no part in that join, so they cannot crowd into one task.
     """
     hashes = (
         index.filter(F.col("integrity").isNotNull()).select("integrity").distinct().withColumn("_h", F.lit(True))
@@ -81,12 +83,8 @@ def cache_coverage(artifacts: DataFrame, index: DataFrame) -> DataFrame:
         .agg(F.collect_set("_exact").alias("_spellings"))
     )
     source = F.coalesce(first_non_blank(F.col("source_url"), F.col("source")), F.lit(""))
-    joined = (
-        artifacts.withColumn("_src", source)
-        .withColumn("_single", F.regexp_replace("_src", "://", ":/"))
-        .join(hashes, "integrity", "left")
-        .join(spelled, "_single", "left")
-    )
+    asked = artifacts.withColumn("_src", source).withColumn("_single", F.regexp_replace("_src", "://", ":/"))
+    joined = split_join(split_join(asked, hashes, "integrity"), spelled, "_single")
     by_url = F.array_contains("_spellings", F.col("_src")) | F.array_contains("_spellings", F.col("_single"))
     by_integrity = F.coalesce("_h", F.lit(False))
     by_url = F.coalesce(by_url, F.lit(False))

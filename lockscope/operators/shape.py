@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .skew import group_key, heavy_groups
+
 #: Buckets that a key's rows are spread over, about evenly.
 BUCKETS = 128
 
@@ -21,25 +23,36 @@ def one_row(*frames: DataFrame) -> DataFrame:
 def _bucketed(rows: DataFrame, value: Column) -> DataFrame:
     """Adds ``_bucket``, which never decreases as ``value`` grows; NaN and then NULL come last.
 
-    The limits are quantiles of each ``_group``, from a sketch that is merged before the shuffle. So
-    they follow the data, wherever its values lie.
+    Only a ``_group`` with a share of the rows that counts is cut, at quantiles of its own from a sketch that is
+    merged before the shuffle. So the limits follow the data, wherever its values lie. All other
+    groups are one bucket. Two small jobs run at once for this: they find the heavy groups, at most 1 / SHARE,
+    and their limits.
     """
     if rows.select(value).dtypes[0][1] in ("date", "timestamp_ntz"):
         value = value.cast("timestamp")
     keyed = rows.withColumn("_value", value.cast("double"))
     plain = F.col("_value").isNotNull() & ~F.isnan("_value")
     quantiles = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    limits = keyed.groupBy("_group").agg(
-        F.array_distinct(F.percentile_approx(F.when(plain, F.col("_value")), quantiles, F.lit(20 * BUCKETS))).alias("_limits")
+    heavy = [r["_group"] for r in heavy_groups(keyed, "_group").collect()]
+    if not heavy:
+        return keyed.withColumn("_bucket", F.lit(0)).drop("_value")
+    limits = (
+        keyed.filter(F.col("_group").isin(heavy))
+        .groupBy("_group")
+        .agg(F.array_distinct(F.percentile_approx(F.when(plain, F.col("_value")), quantiles, F.lit(20 * BUCKETS))).alias("_limits"))
     )
-    place = F.size(F.filter("_limits", lambda x: x < F.col("_value")))
-    bucket = F.when(plain, F.coalesce(place, F.lit(0))).otherwise(F.when(F.col("_value").isNull(), BUCKETS + 1).otherwise(BUCKETS))
-    return keyed.join(limits, "_group").withColumn("_bucket", bucket).drop("_limits", "_value")
-
-
-def _group_key(keys: Sequence[str]) -> Column:
-    """One never-NULL column for the keys, so that NULL keys join as well."""
-    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}) if keys else F.lit("")
+    # computed once: a sketch that is merged in another order may give other limits
+    limits = rows.sparkSession.createDataFrame(limits.collect(), limits.schema)
+    # how many limits are below, by bisection
+    steps = F.array(*[F.lit(1 << k) for k in range(BUCKETS.bit_length() - 1, -1, -1)])
+    place = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at + F.when(F.coalesce(F.get("_limits", at + step - 1) < F.col("_value"), F.lit(False)), step).otherwise(0),
+    )
+    cut = F.when(plain, place).otherwise(F.when(F.col("_value").isNull(), BUCKETS + 1).otherwise(BUCKETS))
+    bucket = F.when(F.col("_limits").isNotNull(), cut).otherwise(0)
+    return keyed.join(F.broadcast(limits), "_group", "left").withColumn("_bucket", bucket).drop("_limits", "_value")
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_no") -> DataFrame:
@@ -50,7 +63,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     order value share a bucket by necessity.
     """
     part = ["_group", "_bucket"]
-    bucketed = _bucketed(df.withColumn("_group", _group_key(keys)), F.col(order[0]))
+    bucketed = _bucketed(df.withColumn("_group", group_key(keys)), F.col(order[0]))
     counts = bucketed.groupBy(*part).agg(F.count("*").alias("_n"))
     lower = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
@@ -76,7 +89,7 @@ def exact_percentiles(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
-        .withColumn("_group", _group_key(keys))
+        .withColumn("_group", group_key(keys))
     )
     counted = _bucketed(counted, F.col("_v"))
     totals = counted.groupBy(*part).agg(F.sum("_n").alias("_in_bucket"))
