@@ -30,6 +30,7 @@ from .common import new_path, stored
 #: Shorter payloads are never revisits.
 LEAST_SHARED = 1000
 FILE_BYTES = 256 << 20
+RANGES_PER_TASK = 2
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 16
 
@@ -220,8 +221,10 @@ def read_archives(files: DataFrame, with_payload: bool = True, range_bytes: int
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
     cut = files.select("path", "size", F.explode(starts).alias("start"))
     cut = cut.withColumn("end", F.least(F.col("start") + range_bytes, F.col("size")))
-    # ranges are dealt out evenly, however the list of files was stored
-    return cut.repartition("path", "start").mapInArrow(_read(with_payload), f"path string, {RECORD}")
+    # ranges are dealt out evenly, however the list of files was stored, to a number of tasks that grows
+    # with them: adaptive execution would join these few bytes into one
+    tasks = max(1, -(-cut.count() // RANGES_PER_TASK))
+    return cut.repartition(tasks, "path", "start").mapInArrow(_read(with_payload), f"path string, {RECORD}")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
