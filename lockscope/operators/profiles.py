@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.paths import is_commit, profile_key
 from ..functions.specs import split_package_manager
 from ..functions.values import non_blank
-from .dockerfile import BUN_IMAGE, NODE_IMAGE, version_mentions
+from .dockerfile import image_tag, version_mentions
 
 
 def index_profiles(definitions: DataFrame) -> DataFrame:
@@ -59,8 +59,8 @@ def evidence_rows(instructions: DataFrame, installs: DataFrame, files: DataFrame
         "value", F.concat_ws("@", "field.manager", "field.version")
     )
     parts = [
-        rows(base.filter(F.col("value").rlike(NODE_IMAGE)), "node_image", None, "line", "value"),
-        rows(base.filter(F.col("value").rlike(BUN_IMAGE)), "bun_image", None, "line", "value"),
+        rows(base.filter(F.col("value").rlike(image_tag("node"))), "node_image", None, "line", "value"),
+        rows(base.filter(F.col("value").rlike(image_tag("bun"))), "bun_image", None, "line", "value"),
         rows(version_mentions(instructions), "package_manager_version", None, "line", "mention"),
         rows(installs, "install_command", "dependency_root", "line", "fragment"),
         rows(named, "package_json_package_manager", "dependency_root", None, "value"),

@@ -11,6 +11,7 @@ from lockscope.operators.dockerfile import (
     explicit_versions,
     install_commands,
     install_roots,
+    version_mentions,
 )
 from lockscope.operators.locks import match_resolutions, parse_roots
 from lockscope.operators.manifest import parse_manifests
@@ -157,20 +158,31 @@ def test_manifest(files):
 
 def test_dockerfile_roots_and_versions(spark):
     texts = [
-        "FROM node:20\nRUN npm install -g pnpm@9.4.0\nWORKDIR /testbed\nRUN pnpm install\nRUN cd client && npm ci\n",
-        "FROM node:20\nWORKDIR /repo\nRUN pnpm --filter ./apps/web... install\nRUN npm --prefix client ci\n",
+        "FROM registry.example/node:18.4 AS build\nWORKDIR /srv/app\nRUN corepack prepare yarn@3.6.1 --activate; yarn install\nWORKDIR docs\nRUN npm i\n",
+        "FROM oven/bun:1.1\nRUN bun install && (cd tools/cli; npm ci)\nRUN yarn --cwd web install --frozen-lockfile\n",
+        "FROM node\nRUN npm i --silent -g npm@10 pnpm@8 && npm install -g pnpm@8.15.2\nRUN yarn set version berry\nRUN npm -g pnpm@1; echo npm install -g yarn\n",
     ]
     df = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "profile_id string, text string")
     instructions = dockerfile_instructions(df)
     roots = install_roots(install_commands(instructions)).orderBy("profile_id", "first_place").collect()
-    assert [(r.profile_id, r.dependency_root) for r in roots] == [
-        ("p0", "."),
-        ("p0", "client"),
-        ("p1", "apps/web"),
-        ("p1", "client"),
+    assert [(r.profile_id, r.dependency_root, r.package_manager) for r in roots] == [
+        ("p0", "app", "yarn"),
+        ("p0", "app/docs", "npm"),
+        ("p1", ".", "bun"),
+        ("p1", "tools/cli", "npm"),
+        ("p1", "web", "yarn"),
     ]
     versions = {(r.profile_id, r.tool): r.version for r in explicit_versions(instructions).collect()}
-    assert versions == {("p0", "node"): "20", ("p0", "pnpm"): "9.4.0", ("p1", "node"): "20"}
+    assert versions == {
+        ("p0", "node"): "18.4",
+        ("p0", "yarn"): "3.6.1",
+        ("p1", "bun"): "1.1",
+        ("p2", "npm"): "10",
+        ("p2", "pnpm"): "8.15.2",
+        ("p2", "yarn"): "berry",
+    }
+    said = {(r.line, r.tool): r.mention for r in version_mentions(instructions).filter("profile_id = 'p2'").collect()}
+    assert said == {(2, "npm"): "npm i --silent -g npm@10", (2, "pnpm"): "npm install -g pnpm@8.15.2", (3, "yarn"): "yarn set version berry"}
 
 
 def test_dockerfile_long_continuation(spark):
