@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.choices import policy_key
-from ..functions.values import non_blank
+from ..functions.values import first_non_blank, non_blank
 from ..functions.versions import absolute_change, relative_change, version_numbers
 from .dedup import USABLE
+from .results import lookup
 from .shape import exact_percentiles, one_row
 
 MIXED = "mixed"
@@ -212,3 +213,78 @@ def in_input_order(rows: DataFrame, positions: DataFrame, key: str, then: str) -
 
 def order_null_as_blank(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.orderBy(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
+
+
+ROOT_KEY = ("profile_id", "dependency_root")
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str], order: str, kept: Sequence[str]) -> DataFrame:
+    """``left`` with the first row of ``right`` for its keys; NULL where there is none."""
+    return lookup(left, right.select(*keys, order, *[c for c in kept if c != order]), keys, order, kept)
+
+
+def validation_table(results: DataFrame, profiles: DataFrame, requests: DataFrame) -> DataFrame:
+    """One row per validated root, with the owner and repository of its profile and its outbound requests.
+
+    ``results``: root key, package_manager, profile_status, for each of g1 and g2 status, elapsed_ms and reason
+    (``g1_status`` ...), reason, root_elapsed_ms. The first reason counts: the root's own, g1's, g2's.
+    Requests are counted before they meet the roots, so a busy root costs no more than any other.
+    """
+    named = _beside(results, profiles, ["profile_id"], "ord", ["owner", "repo"])
+    counts = requests.groupBy(*ROOT_KEY).agg(F.count("*").alias("outbound_request_count"))
+    counted = lookup(named, counts, ROOT_KEY, "outbound_request_count", ["outbound_request_count"])
+    return counted.select(
+        "profile_id",
+        "owner",
+        "repo",
+        "dependency_root",
+        "package_manager",
+        "profile_status",
+        "g1_status",
+        "g1_elapsed_ms",
+        "g2_status",
+        "g2_elapsed_ms",
+        "root_elapsed_ms",
+        F.coalesce("outbound_request_count", F.lit(0)).alias("outbound_request_count"),
+        first_non_blank(F.col("reason"), F.col("g1_reason"), F.col("g2_reason")).alias("reason"),
+    )
+
+
+def resolution_table(resolutions: DataFrame, normalized: DataFrame, results: DataFrame) -> DataFrame:
+    """Resolutions with the time that normalizing (``normalize_elapsed_ms``) and validating their root took.
+
+    ``normalized`` and ``results`` may list a root several times: the last normalization (by ``ord``) and the
+    first validation count.
+    """
+    latest = normalized.withColumn("_back", -F.col("ord"))
+    timed = _beside(resolutions, latest, ROOT_KEY, "_back", ["normalize_elapsed_ms"])
+    return _beside(timed, results, ROOT_KEY, "ord", ["validation_elapsed_ms"])
+
+
+def project_table(profiles: DataFrame, roots: DataFrame, failures: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Profiles with the number of their roots, whether discovery failed, and their validation.
+
+    ``failures`` (profile_id) of discovery; ``statuses``: profile_id, ord, status, elapsed_ms, the last one counts.
+    """
+    failed = failures.select("profile_id").distinct().withColumn("_failed", F.lit(True))
+    counts = roots.groupBy("profile_id").agg(F.count("*").alias("dependency_roots"))
+    last = statuses.groupBy("profile_id").agg(F.max_by(F.struct("status", "elapsed_ms"), "ord").alias("_last"))
+    joined = profiles
+    for side in (failed, counts, last):
+        joined = joined.join(side, "profile_id", "left")
+    return joined.select(
+        *profiles.columns,
+        F.coalesce("dependency_roots", F.lit(0)).alias("dependency_roots"),
+        F.when(F.col("_failed"), "failed").otherwise("success").alias("discovery_status"),
+        F.col("_last.status").alias("validation_status"),
+        F.col("_last.elapsed_ms").alias("validation_elapsed_ms"),
+    )
+
+
+def coverage_table(profiles: DataFrame, roots: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Discovered profiles with the number of their roots and of the tasks in their repository."""
+    counts = roots.groupBy("profile_id").agg(F.count("*").alias("dependency_roots"))
+    covered = profile_coverage(profiles, tasks).join(counts, "profile_id", "left")
+    return covered.withColumn("dependency_roots", F.coalesce("dependency_roots", F.lit(0))).withColumn(
+        "discovery_status", F.lit("success")
+    )

@@ -9,6 +9,7 @@ from ..operators.reports import (
     cache_bytes_by_manager,
     combine_issues,
     coverage_rate,
+    coverage_table,
     distribution as distribution_of,
     fetch_summary as fetches,
     first_run_bytes,
@@ -19,18 +20,23 @@ from ..operators.reports import (
     phase_verdict,
     profile_coverage,
     profile_rollup,
+    project_table,
     request_counts,
     resolution_counts,
+    resolution_table,
     run_changes,
     stage_failures,
     timing_summary as timings,
+    validation_table,
     warmup_by_manager as by_manager,
     warmup_by_policy as by_policy,
 )
 from ..operators.shape import exact_percentiles, number_rows, one_row
+from ..functions.choices import retry_command
 from ..functions.values import url_host
+from ..sources.readers import task_rows
 from .outcomes import _order_statuses
-from .registry import Tables, fill, query
+from .registry import Tables, fill, pick, query
 
 
 @query(
@@ -400,3 +406,141 @@ def timing_unknown_stage(t: Tables) -> DataFrame:
         F.when(F.col("event_type") != "click", F.col("event_type")).alias("stage"), F.col("value").alias("elapsed_ms")
     )
     return timings(rows).select("stage", "count", F.round("p50", 4).alias("p50"), "max")
+
+
+_ROOTS_OF_PARTS = """
+    p AS (SELECT DISTINCT s_suppkey AS k, 'own-' || (s_suppkey % 7) AS owner, s_name AS repo FROM supplier WHERE s_suppkey % 10 <> 3),
+    res AS (SELECT p_partkey % 150 AS profile, p_partkey AS root, p_partkey % 6 AS kind, p_size AS size FROM part)
+"""
+
+
+def _validated(t: Tables) -> DataFrame:
+    """Results of roots: some profiles are unknown, reasons stand in different places."""
+    key, kind = F.col("p_partkey"), F.col("p_partkey") % 6
+    return t.part.select(
+        fill("p-<n>", n=key % 150).alias("profile_id"),
+        fill("r-<n>", n=key).alias("dependency_root"),
+        F.lit("npm").alias("package_manager"),
+        F.when(kind == 0, "success").otherwise("other_failure").alias("profile_status"),
+        F.when(kind == 0, "success").otherwise("other_failure").alias("g1_status"),
+        F.col("p_size").cast("bigint").alias("g1_elapsed_ms"),
+        F.when(kind < 3, "g1 said").alias("g1_reason"),
+        F.lit("success").alias("g2_status"),
+        (F.col("p_size") * 2).cast("bigint").alias("g2_elapsed_ms"),
+        F.when(kind == 3, "g2 said").alias("g2_reason"),
+        F.when(kind == 1, "root said").when(kind == 2, "").alias("reason"),
+        (F.col("p_size") * 3).cast("bigint").alias("root_elapsed_ms"),
+        key.alias("ord"),
+    )
+
+
+@query(
+    f"""
+    WITH {_ROOTS_OF_PARTS}, req AS (SELECT event_id % 500 AS root, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+    SELECT 'p-' || profile AS profile_id, owner, repo, 'r-' || res.root AS dependency_root, 'npm' AS package_manager,
+           CASE kind WHEN 0 THEN 'success' ELSE 'other_failure' END AS profile_status,
+           CASE kind WHEN 0 THEN 'success' ELSE 'other_failure' END AS g1_status, size::BIGINT AS g1_elapsed_ms, 'success' AS g2_status,
+           size::BIGINT * 2 AS g2_elapsed_ms, size::BIGINT * 3 AS root_elapsed_ms, coalesce(n, 0) AS outbound_request_count,
+           CASE kind WHEN 0 THEN 'g1 said' WHEN 1 THEN 'root said' WHEN 2 THEN 'g1 said' WHEN 3 THEN 'g2 said' END AS reason
+    FROM res LEFT JOIN p ON p.k = profile LEFT JOIN req ON req.root = res.root AND profile = req.root % 150
+    """
+)
+def report_validation(t: Tables) -> DataFrame:
+    profiles = t.supplier.filter("s_suppkey % 10 <> 3").select(
+        fill("p-<n>", n="s_suppkey").alias("profile_id"), fill("own-<n>", n=F.col("s_suppkey") % 7).alias("owner"), F.col("s_name").alias("repo"), F.col("s_suppkey").alias("ord")
+    )
+    root = F.col("event_id") % 500
+    requests = t.events.filter("event_type = 'error'").select(fill("p-<n>", n=root % 150).alias("profile_id"), fill("r-<n>", n=root).alias("dependency_root"))
+    return validation_table(_validated(t), profiles, requests)
+
+
+@query(
+    """
+    SELECT 'p-' || (p_partkey % 150) AS profile_id, 'r-' || p_partkey AS dependency_root, 'class-' || (p_partkey % 3) AS classification,
+           CASE WHEN p_partkey % 4 = 0 THEN -1 ELSE p_size + CASE WHEN p_partkey % 5 = 0 THEN 100 ELSE 0 END END::BIGINT AS normalize_ms,
+           CASE WHEN p_partkey % 3 = 0 THEN -1 ELSE p_size * 3 END::BIGINT AS validation_ms
+    FROM part
+    """
+)
+def report_resolutions(t: Tables) -> DataFrame:
+    """A fifth of the roots is normalized twice; some are not, and some are not validated."""
+    key = F.col("p_partkey")
+    results = _validated(t).withColumnRenamed("root_elapsed_ms", "validation_elapsed_ms")
+    resolutions = t.part.select(
+        fill("p-<n>", n=key % 150).alias("profile_id"), fill("r-<n>", n=key).alias("dependency_root"), fill("class-<n>", n=key % 3).alias("classification")
+    )
+    once = t.part.filter("p_partkey % 4 <> 0").select(
+        fill("p-<n>", n=key % 150).alias("profile_id"), fill("r-<n>", n=key).alias("dependency_root"), F.col("p_size").cast("bigint").alias("normalize_elapsed_ms"), key.alias("ord")
+    )
+    again = once.filter(F.col("ord") % 5 == 0).withColumns({"normalize_elapsed_ms": F.col("normalize_elapsed_ms") + 100, "ord": F.col("ord") + 10**6})
+    table = resolution_table(resolutions, once.unionByName(again), results.filter(F.col("ord") % 3 != 0))
+    ms = lambda c: F.coalesce(c, F.lit(-1)).cast("bigint")
+    return table.select("profile_id", "dependency_root", "classification", ms("normalize_elapsed_ms").alias("normalize_ms"), ms("validation_elapsed_ms").alias("validation_ms"))
+
+
+@query(
+    """
+    WITH r AS (SELECT c_custkey % 130 AS k, count(*) AS n FROM customer GROUP BY 1),
+    v AS (SELECT o_custkey % 130 AS k, arg_max(CASE o_orderstatus WHEN 'F' THEN 'success' ELSE 'other_failure' END, o_orderkey) AS status FROM orders
+          WHERE o_custkey % 130 <> 5 GROUP BY 1)
+    SELECT 'p-' || s_suppkey AS profile_id, s_name AS repo, coalesce(n, 0) AS dependency_roots,
+           CASE WHEN s_suppkey % 9 = 0 THEN 'failed' ELSE 'success' END AS discovery_status, v.status AS validation_status
+    FROM supplier LEFT JOIN r ON r.k = s_suppkey LEFT JOIN v ON v.k = s_suppkey
+    """
+)
+def report_projects(t: Tables) -> DataFrame:
+    name = lambda c: fill("p-<n>", n=c).alias("profile_id")
+    profiles = t.supplier.select(name("s_suppkey"), F.col("s_name").alias("repo"))
+    failures = t.supplier.filter("s_suppkey % 9 = 0").select(name("s_suppkey")).unionByName(t.supplier.filter("s_suppkey % 18 = 0").select(name("s_suppkey")))
+    key = F.col("o_custkey") % 130
+    statuses = t.orders.filter(key != 5).select(
+        name(key), F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderstatus") == "F", "success").otherwise("other_failure").alias("status"), F.lit(1).alias("elapsed_ms")
+    )
+    return project_table(profiles, t.customer.select(name(F.col("c_custkey") % 130)), failures, statuses).drop("validation_elapsed_ms")
+
+
+@query(
+    """
+    WITH k AS (SELECT o_orderkey % 200 AS repo, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1),
+    r AS (SELECT c_custkey % 130 AS k, count(*) AS n FROM customer GROUP BY 1)
+    SELECT 'p-' || s_suppkey AS profile_id, coalesce(k.n, 0) AS task_count, coalesce(r.n, 0) AS dependency_roots, 'success' AS discovery_status
+    FROM supplier LEFT JOIN k ON k.repo = s_suppkey LEFT JOIN r ON r.k = s_suppkey
+    UNION ALL SELECT '', (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 1), 0, 'no repository'
+    """
+)
+def report_coverage(t: Tables) -> DataFrame:
+    """Tasks come as lines of a CSV: of another collection, without repository, or cut short."""
+    key = F.col("o_orderkey")
+    line = (
+        F.when(key % 3 == 0, fill('SWE-smith,"a,b",x,t-<k>,p-<r>', k=key, r=key % 200))
+        .when(key % 3 == 1, fill("SWE-smith,1,x,t-<k>,", k=key))
+        .when(key % 2 == 0, fill("SWE-smith,1,x,t-<k>", k=key))
+        .otherwise(fill("Other,1,x,t-<k>,p-<r>", k=key, r=key % 200))
+    )
+    tasks = task_rows(t.orders.select(line.alias("value")))
+    name = lambda c: fill("p-<n>", n=c).alias("profile_id")
+    table = coverage_table(t.supplier.select(name("s_suppkey")), t.customer.select(name(F.col("c_custkey") % 130)), tasks)
+    lost = tasks.filter("repository = ''").agg(F.count("*").alias("task_count"))
+    lost = lost.select(F.lit("").alias("profile_id"), "task_count", F.lit(0).cast("bigint").alias("dependency_roots"), F.lit("no repository").alias("discovery_status"))
+    return table.select("profile_id", "task_count", "dependency_roots", "discovery_status").unionByName(lost)
+
+
+@query(
+    """
+    SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'npm ci --legacy-peer-deps' WHEN 2 THEN 'pnpm install --config.engine-strict=false'
+                   WHEN 4 THEN 'yarn install --ignore-engines' END AS command FROM documents
+    """
+)
+def retry_commands(t: Tables) -> DataFrame:
+    key = F.col("doc_id")
+    case = key % 7
+    manager = pick(key, "npm", "npm", "pnpm", "pnpm", "yarn", "bun", "npm")
+    said = pick(key, "npm ERESOLVE", "unable to resolve dependency tree", "Unsupported Engine", "The ENGINE node is Incompatible", "engine is incompatible", "ERESOLVE", "fine")
+    words = (
+        F.when(case == 0, F.array(F.lit("npm"), F.lit("ci")))
+        .when(case == 1, F.array(F.lit("npm"), F.lit("ci"), F.lit("--legacy-peer-deps")))
+        .when(case == 3, F.array(F.lit("pnpm"), F.lit("install"), F.lit("--config.engine-strict=false")))
+        .otherwise(F.array(manager, F.lit("install")))
+    )
+    again = retry_command(manager, F.concat("text", F.lit("\n"), said), words)
+    return t.documents.select("doc_id", F.array_join(again, " ").alias("command"))

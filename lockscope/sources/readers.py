@@ -110,13 +110,24 @@ def read_event_log_open(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("singleVariantColumn", "record").json(path)
 
 
+def task_rows(lines: DataFrame, collection: str = "SWE-smith") -> DataFrame:
+    """(task_id, repository) of one collection, from the lines (``value``) of a task CSV without fixed header.
+
+    A line of fewer than five fields is no task. An empty repository is kept as ''.
+    """
+    schema = "c0 STRING, c1 STRING, c2 STRING, c3 STRING, c4 STRING, odd STRING"
+    plain = F.regexp_replace("value", "^\ufeff", "")
+    read = lines.select(F.from_csv(plain, schema, {"columnNameOfCorruptRecord": "odd"}).alias("c")).select("c.*")
+    # Spark marks lines of fewer and of more fields alike; an empty field reads as NULL
+    enough = F.col("odd").isNull() | F.col("c4").isNotNull() | (F.length("odd") - F.length(F.replace("odd", F.lit(","))) >= 4)
+    return read.filter((F.col("c0") == collection) & non_blank(F.col("c3")).isNotNull() & enough).select(
+        F.col("c3").alias("task_id"), F.coalesce("c4", F.lit("")).alias("repository")
+    )
+
+
 def read_tasks(spark: SparkSession, path: str, collection: str = "SWE-smith") -> DataFrame:
-    """(task_id, repository) rows of one collection in a task CSV without fixed header."""
-    schema = "c0 STRING, c1 STRING, c2 STRING, c3 STRING, c4 STRING"
-    rows = spark.read.schema(schema).csv(path, header=False, enforceSchema=True)
-    return rows.filter(
-        (F.col("c0") == collection) & non_blank(F.col("c3")).isNotNull() & F.col("c4").isNotNull()
-    ).select(F.col("c3").alias("task_id"), F.col("c4").alias("repository"))
+    """``task_rows`` of a CSV file."""
+    return task_rows(spark.read.text(path), collection)
 
 
 def read_blobs(spark: SparkSession, base: str) -> DataFrame:

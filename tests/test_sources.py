@@ -62,9 +62,9 @@ def test_documents_and_logs(spark, tmp_path):
 
 
 def test_tasks(spark, tmp_path):
-    (tmp_path / "tasks.csv").write_text("\ufeffSWE-smith,1,x,t1,repo/a,z\nOther,1,x,t2,repo/a\nSWE-smith,1,x,,repo/a\nSWE-smith,1,x,t3\n", encoding="utf-8")
+    (tmp_path / "tasks.csv").write_text("\ufeffSWE-smith,1,x,t1,repo/a,z\nOther,1,x,t2,repo/a\nSWE-smith,1,x,,repo/a\nSWE-smith,1,x,t3\nSWE-smith,1,x,t4,\nSWE-smith,1,x,t5,,more\n\"SWE-smith\",1,\"a,b\",t6,repo/b\n", encoding="utf-8")
     rows = read_tasks(spark, str(tmp_path / "tasks.csv")).collect()
-    assert [(r.task_id, r.repository) for r in rows] == [("t1", "repo/a")]
+    assert [(r.task_id, r.repository) for r in rows] == [("t1", "repo/a"), ("t4", ""), ("t5", ""), ("t6", "repo/b")]
 
 
 def test_blobs_and_index(spark, tmp_path):
