@@ -28,6 +28,9 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.skew import heavy_groups, split_join
+from .common import stored
+
 HALF_BITS = 64
 HEAVIEST = 8
 #: Rows of a bucket, unless that makes more than BUCKETS of them.
@@ -176,8 +179,29 @@ def beside_next(docs: DataFrame) -> DataFrame:
     return rows.select("bucket", F.row_number().over(order).alias("place"), "ghost", "doc_id", "text", F.coalesce(next_, F.lit("")).alias("next"))
 
 
-def fingerprint_report(docs: DataFrame) -> DataFrame:
-    """One row per document: its fingerprint, that of its text with the second half replaced by the next one's, and their likeness."""
+def with_neighbours(rows: DataFrame, radius: int, high: str, low: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: how many other rows have a fingerprint at most ``radius`` bits apart.
+
+    Counted by distinct fingerprints. One that many rows have is dealt out when its count is joined to them.
+    ``rows`` should be stored: they are read several times.
+    """
+    classes = stored(rows.groupBy(F.col(high).alias("high"), F.col(low).alias("low")).agg(F.count("*").alias("n")), "classes")
+    pairs = within_radius(classes, radius)
+    both = pairs.select("high", "low", "other_high", "other_low").union(pairs.select("other_high", "other_low", "high", "low"))
+    others = classes.select(F.col("high").alias("other_high"), F.col("low").alias("other_low"), "n")
+    more = both.join(others, ["other_high", "other_low"]).groupBy("high", "low").agg(F.sum("n").alias("more"))
+    counts = classes.join(more, ["high", "low"], "left")
+    key = lambda h, m: hexadecimal(F.col(h), F.col(m)).alias("print_")
+    counts = counts.select(key("high", "low"), (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias(name))
+    marked = rows.select("*", key(high, low))
+    return split_join(marked, counts, "print_", heavy=heavy_groups(marked, "print_")).drop("print_")
+
+
+def fingerprint_report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row per document: its fingerprint, that of its text with the second half replaced by the next one's, and their likeness.
+
+    ``n_near``: how many other documents have a fingerprint at most ``radius`` bits apart.
+    """
     half = F.floor(F.col("n_chars") / 2).cast("int")
     start = lambda text, n: F.substring(text, F.lit(1), n)
     edited = F.concat(start(F.col("text"), (F.col("n_chars") - half).cast("int")), start(F.col("next"), half))
@@ -192,7 +216,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     rows = hashed.groupBy("bucket", "place", *kept).agg(*sides.values())
     order = Window.partitionBy("bucket").orderBy("place")
     after = [F.coalesce(F.when(F.col("doc_id").isNotNull(), F.lead(f"own_{c}").over(order)), F.lit(0).cast("long")).alias(f"next_{c}") for c in ("high", "low")]
-    rows = rows.select("*", *after).filter(~F.col("ghost"))
+    rows = stored(rows.select("*", *after).filter(~F.col("ghost")), "fingerprints")
+    rows = with_neighbours(rows, radius, "own_high", "own_low", "n_near")
     pair = lambda side: (F.col(f"{side}_high"), F.col(f"{side}_low"))
     return rows.select(
         "doc_id",
@@ -202,4 +227,5 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
         hexadecimal(*pair("edit")).alias("edited_fingerprint"),
         likeness(pair("own"), pair("edit")).alias("near_edited"),
         likeness(pair("own"), pair("next")).alias("near_next"),
+        "n_near",
     )

@@ -49,6 +49,8 @@ def test_next_document_and_edit(spark, monkeypatch, bucket):
         x, y = got[i], got[ordered[(k + 1) % len(ordered)]]
         assert x.near_next == sum(a == b for a, b in zip(bits(x.fingerprint), bits(y.fingerprint))) / 128
         assert x.near_edited == sum(a == b for a, b in zip(bits(x.fingerprint), bits(x.edited_fingerprint))) / 128
+    prints = {i: int(x.fingerprint, 16) for i, x in got.items()}
+    assert {i: x.n_near for i, x in got.items()} == {i: sum((prints[i] ^ y).bit_count() <= simhash.RADIUS for y in prints.values()) - 1 for i in prints}
     again = spark.createDataFrame(list(enumerate(want.values())), "doc_id long, text string")
     direct = {x.doc_id: x.fingerprint for x in simhash.fingerprint_report(again).collect()}
     assert [direct[k] for k in range(len(want))] == [got[i].edited_fingerprint for i in want]
@@ -103,6 +105,7 @@ def test_query(spark):
     df = queries.QUERIES["op12_simhash"](spark, sf)
     plan = df._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    assert df.filter("n_near > 0").count() > 0
     rows = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {x.doc_id: x for x in df.collect()}
     assert {i: x.edited_sha256 for i, x in got.items()} == {i: sha(t) for i, t in brute_edit(rows).items()}
