@@ -9,7 +9,7 @@ expectation-maximisation over its words estimates the share of each language. Th
 the one of the k most frequent languages, k = 1, 2, ..., whose likelihood less a penalty of half
 the logarithm of the number of words for each further language is largest. The language with the
 largest share in that set is predicted; the share is the score. A text that the set explains no better than
-trigrams drawn blindly is not explained: it has a prediction, but ``with_language`` leaves it out.
+trigrams drawn blindly from those seen is not explained: it has a prediction, but ``with_language`` leaves it out.
 
 Defined results: null text, empty text and text without letters give ``und`` with score 0, and so
 does every text where nothing was learned; documents without a language or an id are not learned
@@ -32,6 +32,8 @@ GRAMS = 1 << 18
 MAX_LANGUAGES = 256
 UNDETERMINED = "und"
 SMOOTHING = 0.5
+#: Log of the odds at which a text is rejected: about one in 20,000.
+DOUBT = 10.0
 ROUNDS, MOVED = 15, 1e-3
 SLICE_BYTES = 1 << 20
 
@@ -87,10 +89,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Model:
-    """Log likelihoods of trigrams: ``table[number of the trigram, language]``."""
+    """Log likelihoods of trigrams: ``table[number of the trigram, language]``; ``seen`` of them were learned from."""
 
-    def __init__(self, languages: list[str], table: np.ndarray) -> None:
-        self.languages, self.table = languages, table
+    def __init__(self, languages: list[str], table: np.ndarray, seen: int = 0) -> None:
+        self.languages, self.table, self.seen = languages, table, seen
 
 
 def learn(docs: DataFrame) -> Model:
@@ -109,7 +111,7 @@ def learn(docs: DataFrame) -> Model:
     found[rows["gram"].to_numpy(), of] = rows["n"].to_numpy()
     seen = int((found.sum(axis=1) > 0).sum())
     table = np.log((found + SMOOTHING) / (found.sum(axis=0) + SMOOTHING * (seen + 1)))
-    return Model(languages, table.astype(np.float32))
+    return Model(languages, table.astype(np.float32), seen)
 
 
 def _em(share: np.ndarray, chance: np.ndarray, doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +185,7 @@ def _predict(model: Model):
                     words_ = use[np.repeat(known, sizes)]
                     shares[known], value = mixtures(each[words_], sizes[known])
                     trigrams = np.add.reduceat(counts[words_], np.cumsum(sizes[known]) - sizes[known])
-                    explained[known] = value > -np.log(GRAMS) * trigrams
+                    explained[known] = value + DOUBT > -np.log(max(2, model.seen)) * trigrams
                 best = shares.argmax(axis=1)
                 pred = [model.languages[k] if s else UNDETERMINED for k, s in zip(best, shares.any(axis=1))]
                 names = model.languages
@@ -198,7 +200,8 @@ def _predict(model: Model):
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without its text, with ``lang_pred``, ``score``, ``shares`` (language to share) and ``explained``.
 
-    A text is explained if the chosen languages give it a higher likelihood than trigrams drawn blindly.
+    A text is explained unless trigrams drawn blindly, all that were seen alike, are likelier than the chosen
+    languages by more than ``DOUBT``.
     """
     rest = docs.drop("lang_pred", "score", "shares", "explained")
     schema = rest.drop("text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "shares": F.lit(None).cast("map<string,double>"), "explained": F.lit(True)}).schema

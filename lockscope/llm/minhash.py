@@ -221,5 +221,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents without the near-duplicates of one with a smaller id, in all their columns."""
-    gone = near_duplicates(docs, shingle, percent).filter("not kept").select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_"), "left_anti")
+    gone = near_duplicates(docs.select("doc_id", "text"), shingle, percent).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
