@@ -5,7 +5,8 @@ Generators propose overlapping spans. Strict patterns give the base spans, which
 trees score the other proposals; a threshold for each kind, chosen on held-out proposals, decides.
 Trees and thresholds are turned into column expressions.
 
-The trees are fitted on about ``TRAINING_DOCS`` documents, picked by the hash of their text. Positive
+The trees are fitted on the proposals of all documents: equal ones are counted together and weigh as
+many, so what is fitted grows with the different shapes, not with the corpus. Positive
 are base spans rewritten in the forms that only the loose patterns see (plus sign dropped, "@" spelt
 out), in their own context. Negative are proposals that overlap no base span and have no word of their
 kind before them or fail a check of their kind. Other proposals are unlabelled and teach nothing.
@@ -27,8 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Expected number of documents the trees are fitted on, whatever the size of the corpus.
-TRAINING_DOCS = 20_000
+#: Limits of a feature that the trees choose from. Spark draws them from all rows up to the square of this.
+MAX_BINS = 512
 #: Least share of held-out examples over a threshold that must be true.
 PRECISION = 0.98
 #: Fewest held-out examples over a threshold.
@@ -246,32 +247,36 @@ def read_trees(model: GBTClassificationModel) -> list[tuple[float, list]]:
     return found
 
 
-def fit(docs: DataFrame, training_docs: int = TRAINING_DOCS, text: str = "text") -> Model:
-    """Trees from examples of about ``training_docs`` documents, thresholds from a quarter held out."""
-    total = max(1, docs.count())
-    share = min(1.0, training_docs / total)
-    mark = F.pmod(F.xxhash64(text), F.lit(1_000_000))
-    sample = docs.select(text).filter(mark < int(share * 1_000_000)) if share < 1 else docs.select(text)
+def examples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(kind, features, label, plausible, held_out, weight): the different examples of all documents and how often they occur."""
     # no word of its own kind before it
     alone = lambda c: F.get(c["features"], F.get(c["features"], F.lit(0)).cast("int") + len(_FORMAT)) == 0
     example = lambda c, label, plausible: F.struct(c["kind"].alias("kind"), c["features"].alias("features"), F.lit(label).alias("label"), plausible.alias("plausible"))
     false = F.filter("proposed", lambda c: (alone(c) | ~c["plausible"]) & ~_hits("base", c))
-    examples = F.concat(F.transform(false, lambda c: example(c, 0.0, c["plausible"])), F.transform("disguised", lambda c: example(c, 1.0, F.lit(True))))
-    rows = (
-        proposals(sample, text, training=True)
-        .select(text, F.explode_outer(examples).alias("c"))
+    found = F.concat(F.transform(false, lambda c: example(c, 0.0, c["plausible"])), F.transform("disguised", lambda c: example(c, 1.0, F.lit(True))))
+    held_out = F.pmod(F.xxhash64(text, F.lit(1)), F.lit(4)) == 0
+    return (
+        proposals(docs.select(text), text, training=True)
+        .select(held_out.alias("held_out"), F.explode_outer(found).alias("c"))
         .filter("c is not null")
-        .select("c.kind", array_to_vector("c.features").alias("features"), "c.label", "c.plausible", (F.pmod(F.xxhash64(text, F.lit(1)), F.lit(4)) == 0).alias("held_out"))
-    ).persist()
+        .groupBy("c.kind", "c.features", "c.label", "c.plausible", "held_out")
+        .agg(F.count("*").cast("double").alias("weight"))
+    )
+
+
+def fit(docs: DataFrame, text: str = "text") -> Model:
+    """Trees from the examples of all documents, thresholds from a quarter of the documents held out."""
+    rows = examples(docs, text).withColumn("features", array_to_vector("features")).persist()
     try:
         classes = {tuple(r) for r in rows.groupBy("held_out", "label").count().select("held_out", "label").collect()}
         if len(classes) < 4:
             return Model([], {})
-        fitted = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(rows.filter("not held_out"))
+        trees = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, weightCol="weight", maxBins=MAX_BINS)
+        fitted = trees.fit(rows.filter("not held_out"))
         model = Model(read_trees(fitted), {})
         scored = fitted.transform(rows.filter("held_out and plausible"))
         positive = F.element_at(F.from_json(F.to_json(F.struct("probability")), "probability struct<values:array<double>>")["probability"]["values"], 2)
-        bins = scored.groupBy("kind", F.floor(positive * 100).alias("bin")).agg(F.count("*").alias("n"), F.sum("label").alias("true")).collect()
+        bins = scored.groupBy("kind", F.floor(positive * 100).alias("bin")).agg(F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("true")).collect()
         for kind in KINDS:
             n = true = 0
             for b in sorted((b for b in bins if b["kind"] == kind), key=lambda b: -b["bin"]):
@@ -307,10 +312,10 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return df.withColumn(text, F.when(F.col(text).isNotNull(), done)).select(*docs.columns)
 
 
-def personal_data(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> DataFrame:
+def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: base spans by kind, their digest, and all spans as text."""
     docs = docs.select("doc_id", "text")
-    df = find_spans(docs, fit(docs, training_docs))
+    df = find_spans(docs, fit(docs))
     said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return df.select("doc_id", *[of(k) for k in KINDS], F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
