@@ -112,7 +112,8 @@ def git_urls(t: Tables) -> DataFrame:
         "git+https://gitlab.com/own<k>/repo<k>.git#v<k>",
     ]
     sources = F.array(*[fill(s, k="c_custkey") for s in spellings])
-    rows = t.customer.select(F.col("c_custkey").alias("k"), F.posexplode(sources).alias("i", "source"))
+    customers = t.dealt("customer", "c_custkey")
+    rows = customers.select(F.col("c_custkey").alias("k"), F.posexplode(sources).alias("i", "source"))
     split = rows.withColumns({"a": git_archive(F.col("source")), "r": git_repository(F.col("source"))})
     return split.select("k", "i", "a.archive_url", "a.ref", "a.alias", "r.repository_url")
 
