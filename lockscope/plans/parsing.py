@@ -461,7 +461,7 @@ def explicit_versions(t: Tables) -> DataFrame:
 def evidence_union(t: Tables) -> DataFrame:
     instructions = _instructions(t)
     manifest = fill('{"packageManager":"pnpm@9.<n>.1+sha1.x"}', n="c_nationkey")
-    files = as_files(t.customer, F.col("c_custkey"), "package.json", manifest)
+    files = as_files(t.dealt("customer", "c_custkey", "c_nationkey"), F.col("c_custkey"), "package.json", manifest)
     evidence = evidence_rows(instructions, found_installs(instructions), files)
     return evidence.withColumn("line", F.coalesce("line", F.lit(0)))
 
