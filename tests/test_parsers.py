@@ -19,6 +19,7 @@ from lockscope.operators.npm import parse_npm
 from lockscope.operators.parsed import issue_rows, reference_rows
 from lockscope.operators.pnpm import parse_pnpm, parse_pnpm_with_snapshots
 from lockscope.operators.yarn import parse_yarn
+from lockscope.plans import QUERIES
 
 
 def rows(df):
@@ -76,6 +77,22 @@ def test_broken_json_is_one_issue(files, text):
     assert [r.problem for r in parse_npm(files("package-lock.json", text)).collect()] == ["lockfile parse failed"]
 
 
+def test_npm_locks_are_rendered_and_read_once(spark):
+    for name in ("lock_npm", "lock_artifacts"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "from_json" not in plan
+
+
+def test_npm_repeated_path_and_odd_text(files):
+    text = '{"packages":{"a":{"version":"1"},"b":{"version":"\\ud800x"},"a":{"version":"2","dependencies":{"x":"^1","y":2}}}}'
+    found = rows(parse_npm(files("package-lock.json", text, '{"packages":{"a":{"version":NaN}}}', None)))
+    assert [(r.name, r.version, r.dependencies, r.problem) for r in found if r.profile_id == "p0"] == [
+        ("a", "2", {"x": "^1", "y": "2"}, None),
+        ("b", "?x", None, None),
+    ]
+    assert [(r.profile_id, r.problem) for r in found[2:]] == [(p, "lockfile parse failed") for p in ("p1", "p2")]
+
+
 def test_npm_packages_of_wrong_type_falls_back(files):
     text = '{"packages":[1],"dependencies":{"a":{"version":"1.0.0"}}}'
     assert [r.name for r in parse_npm(files("package-lock.json", text)).collect()] == ["a"]
