@@ -192,3 +192,26 @@ def test_real_tables(spark):
 def test_stored_tables_lie_in_the_shared_folder(spark):
     df = stored(spark.range(3).withColumn("x", F.lit("a")), "some")
     assert df.count() == 3 and spark.conf.get("spark.checkpoint.dir").removeprefix("file://") in df.inputFiles()[0]
+
+
+def test_a_block_is_searched_once_however_many_rows(monkeypatch):
+    rng = random.Random(8)
+    n = 60
+    sets = [np.array(sorted(rng.sample(range(24), rng.randint(0, 20))), dtype=np.uint64) for _ in range(n)]
+    ids, placed = np.array(rng.sample(range(1000), n)), np.array([rng.randrange(5) for _ in range(n)])
+    is_x = np.array([rng.random() < 0.5 for _ in range(n)])
+    plain = {}
+    for x in np.flatnonzero(is_x):
+        for y in np.flatnonzero(~is_x):
+            a, b = set(sets[x].tolist()), set(sets[y].tolist())
+            if a & b and 10 * len(a & b) >= 5 * len(a | b) and placed[x] != placed[y]:
+                key = (int(ids[x]), int(placed[y]))
+                plain[key] = min(plain.get(key, 1000), int(ids[y]))
+    assert plain
+    searches, search = [], np.searchsorted
+    monkeypatch.setattr(graph.np, "searchsorted", lambda *a, **k: searches.append(1) or search(*a, **k))
+    found = graph._links_of_block(ids, placed, is_x, sets, 50)
+    assert sorted(found) == sorted((x, y) for (x, _), y in plain.items())
+    assert len(searches) < 10
+    monkeypatch.setattr(graph, "CELLS", 50)
+    assert sorted(graph._links_of_block(ids, placed, is_x, sets, 50)) == sorted(found)
