@@ -26,6 +26,17 @@ ARTIFACT = (
 )
 
 
+def test_artifacts_are_sorted_by_a_number_first(spark):
+    """Identities begin alike: a sort by the text alone compares whole rows."""
+    df = spark.createDataFrame([(f"url:https://x.example/{i % 3}" if i % 3 else None, f"n{i}", i) for i in range(9)], "artifact_id string, name string, ord bigint")
+    out = global_artifacts(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "- Sort [" in line]
+    assert sorts and all("xxhash64" in line or "_groupingexpression" in line.split(" ASC")[0] for line in sorts)
+    assert out.columns == ["artifact_id", "name", "reference_count"]
+    assert {tuple(r) for r in out.collect()} == {(None, "n0", 3), ("url:https://x.example/1", "n1", 3), ("url:https://x.example/2", "n2", 3)}
+
+
 def test_first_non_empty_and_partition_invariance(spark):
     rows = [(i, "sha512-a" if i % 3 else "sha512-b", "" if i < 40 else f"n{i}", f"v{i % 7}") for i in range(500)]
     df = spark.createDataFrame(rows, "ord bigint, integrity string, name string, version string")

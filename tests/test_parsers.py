@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import gc
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from lockscope.operators.dockerfile import (
 )
 from lockscope.operators.locks import match_resolutions, parse_roots
 from lockscope.operators.manifest import parse_manifests
-from lockscope.operators.npm import parse_npm
-from lockscope.operators.parsed import issue_rows, reference_rows
+from lockscope.operators.npm import _reader, parse_npm
+from lockscope.operators.parsed import FILE_KEY, issue_rows, reference_rows
 from lockscope.operators.pnpm import parse_pnpm, parse_pnpm_with_snapshots
 from lockscope.operators.yarn import parse_yarn
 from lockscope.plans import QUERIES
@@ -81,6 +83,15 @@ def test_npm_locks_are_rendered_and_read_once(spark):
     for name in ("lock_npm", "lock_artifacts"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Relation [") == 1 and "from_json" not in plan
+        assert plan.count("lower(trim(") == 1  # a locator is made ready once, not for each pattern
+
+
+def test_npm_reader_leaves_the_collector_on():
+    batch = pa.RecordBatch.from_pydict({**dict.fromkeys(FILE_KEY, ["p"] * 3), "text": [b'{"packages":{"a":{"version":"1"}}}', b" {}\n", b"{}\x0b"]})
+    seen = []
+    for found in _reader(1)(iter([batch])):
+        seen.append((found.num_rows, gc.isenabled()))
+    assert gc.isenabled() and seen == [(1, False), (1, False), (0, False)]
 
 
 def test_npm_repeated_path_and_odd_text(files):
