@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +217,15 @@ def test_a_block_is_searched_once_however_many_rows(monkeypatch):
     assert len(searches) < 10
     monkeypatch.setattr(graph, "CELLS", 50)
     assert sorted(graph._links_of_block(ids, placed, is_x, sets, 50)) == sorted(found)
+
+
+def test_lines_of_a_large_batch_are_signed_in_small_arrays():
+    text = "\n".join(f"line {i} of a text that is long enough" for i in range(20))
+    batch = pa.RecordBatch.from_pydict({"text": [f"{k} {text}" for k in range(2000)]})
+    lines.Lines([text])  # makes the tables that are made once
+    tracemalloc.start()
+    found = list(lines._signed_lines(lines.SHINGLE)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len({x for b in found for x in b.column(0).to_pylist()}) == 19 + 2000
+    assert peak < 48 << 20
