@@ -229,3 +229,62 @@ def test_lines_of_a_large_batch_are_signed_in_small_arrays():
     tracemalloc.stop()
     assert len({x for b in found for x in b.column(0).to_pylist()}) == 19 + 2000
     assert peak < 48 << 20
+
+
+def test_keys_are_shuffled_in_buckets(spark):
+    r = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, [int(k) for k in r.integers(-(2**63), 2**63 - 1, 12)] + [5]) for i in range(2000)], "id long, keys array<long>").coalesce(1)
+    local = df.mapInArrow(graph._local_stars(16), "bucket int, keys binary, ids binary, linked binary").collect()
+    assert len(local) <= 16 + 1  # a row for each bucket, one for the links; not one for each of 26,000 keys
+    assert sum(len(x.keys) // 8 for x in local if x.linked is None) == 24_000 + 1
+    assert {(x.key, x.a) for x in graph.key_stars(df).collect()} == {(5, 0)}
+
+
+def test_marks_dismiss_no_similar_pair_and_most_others():
+    r = random.Random(5)
+    said = ["", "abc", "abcdef", "abcdefg", "z" * 3000] + ["".join(r.choice("abc def") for _ in range(r.randint(1, 400))) for _ in range(40)]
+    for line in said[5:]:
+        for edits in (1, 3, 8, 20):
+            at = [r.randrange(len(line)) for _ in range(edits)]
+            said.append("".join("#" if k in at else c for k, c in enumerate(line)))
+    sets = [{x[k : k + 6] for k in range(len(x) - 5)} if len(x) >= 6 else {x} for x in said]
+    x, y = (v.astype(np.int64) for v in np.triu_indices(len(said), 1))
+    plain = np.array([100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in zip(x, y)])
+    found = lines.Compared(said, 6, 80)
+    assert (found.links(x, y) == plain).all() and plain.sum() > 30
+    common, union = found.most(x, y)
+    may = 100 * common >= 80 * union
+    assert may[plain].all() and may.sum() < 4 * plain.sum()
+    group = x * 3 + y % 3
+    some = found.links(x, y, group)
+    assert not (some & ~plain).any() and set(group[some]) == set(group[plain])
+
+
+def test_small_blocks_at_once_link_what_single_ones_do(monkeypatch):
+    r = random.Random(6)
+    pool = ["".join(r.choice("abc def") for _ in range(120)) for _ in range(8)]
+    said = [x[:k] + "#" + x[k + 1 :] for x in pool for k in (5, 40, 90, 119)]
+    rows = [(m, 0, 0, i, r.randrange(4), side, said[i]) for m in range(6) for i in range(len(said)) for side in (True, False) if r.random() < 0.6]
+    table = pa.table(list(zip(*rows)), names=["main", "x_block", "y_block", "id", "c", "is_x", "body"])
+    batches = table.to_batches(max_chunksize=37)
+    read = lambda bodies: lines.shingle_sets(bodies.to_pylist(), 6)
+    alike = lambda bodies, x, y, group: lines.Compared(bodies.to_pylist(), 6, 80).links(x, y, group)
+
+    def linked(alike):
+        found = [p for b in graph._block_links(read, 80, alike)(iter(batches)) for p in zip(*(b.column(k).to_pylist() for k in (0, 1)))]
+        return {(a, b // 4) for a, b in found}
+
+    assert linked(None) == linked(alike) and len(linked(None)) > 20
+    monkeypatch.setattr(graph, "PAIRS", 150)  # some blocks of a run are small, others not
+    assert linked(alike) == linked(None)
+
+
+def test_only_texts_of_proposed_lines_are_stored():
+    text = [f"line {i} of a text" for i in range(50)] + ["line 3 of a text", " "]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [7], "text_key": [1], "text": ["\n".join(text)]})
+    seen = np.zeros(1 << 21, dtype=np.uint64)
+    key = lines.Lines(["line 3 of a text"]).prints
+    seen[((key >> np.uint64(6)) & np.uint64(len(seen) - 1)).astype(np.int64)] |= np.uint64(1) << (key & np.uint64(63))
+    (out,) = lines._placed(seen)(iter([batch]))
+    assert out.column(2).to_pylist() == list(range(51))
+    assert [x for x in out.column(4).to_pylist() if x is not None] == ["line 3 of a text"]
