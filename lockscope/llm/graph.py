@@ -39,7 +39,7 @@ def _by_key(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[at], least, keys[other], smallest[other], ids[other]
 
 
-def _bodies(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+def run_bodies(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Runs of 64-bit values as binary."""
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
@@ -59,11 +59,11 @@ def _local_stars(buckets: int):
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
             used, at = np.unique(bucket, return_index=True)
             bounds = np.append(at, len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(used), _bodies(keys, bounds), _bodies(ids, bounds), pa.nulls(len(used), pa.binary())], names=_BUCKET)
+            yield pa.RecordBatch.from_arrays([pa.array(used), run_bodies(keys, bounds), run_bodies(ids, bounds), pa.nulls(len(used), pa.binary())], names=_BUCKET)
             if len(key):
                 # links wait in any bucket, not in that of a hot key
                 bounds, any_ = np.array([0, len(key)]), pa.array([int(b[-1]) % buckets], pa.int32())
-                yield pa.RecordBatch.from_arrays([any_, *(_bodies(x, bounds) for x in (key, a, b))], names=_BUCKET)
+                yield pa.RecordBatch.from_arrays([any_, *(run_bodies(x, bounds) for x in (key, a, b))], names=_BUCKET)
 
         for batch in batches:
             keys = batch.column(1)

@@ -3,16 +3,17 @@
 A text's pieces (between punctuation and line ends) are split into words; phrases of 2 to ``LONGEST``
 words are counted for each language in which they stand ``least`` times.
 
-1. Candidates. Every pair's 58-bit key is counted and summed by Spark. Keys that reach ``least`` set a
-   bit in a bitmap of ``BITS`` bits, which bounds what is sent to the tasks; two phrases with one key or
-   one bit only let more candidates through. Longer phrases are keyed and counted where all their pairs
+1. Candidates. Every pair's 58-bit key is counted; the sums of all tasks meet in buckets of keys, as
+   runs, not as rows. Keys that reach ``least`` set a bit in a bitmap of ``BITS`` bits, which bounds what
+   is sent to the tasks; two phrases with one key or one bit only let more candidates through. Longer phrases are keyed and counted where all their pairs
    pass (Apriori), and the phrases whose own keys reach ``least`` are listed with their words: texts are
    in 64 classes, and a phrase is listed from texts of one class in which it was seen.
-2. Counting. Candidates and their single words are dealt into blocks of about ``BLOCK`` phrases. Each
-   block is a double-array trie, broadcast and held against all texts: a word is three steps of one
-   byte of its number. The states of all text positions advance together, level by level, in numpy;
-   accepting states are added by ``bincount``, and the sums of all shards are added by Spark. These
-   are the counts that are used: what collisions let through falls out here.
+2. Counting. Candidates and their single words are dealt into blocks of about ``BLOCK`` phrases by
+   their first words. Each block is a double-array trie: a word is three steps of one byte of its
+   number. Tries of about ``AT_ONCE`` phrases are broadcast together and held against all texts in one
+   pass; a place goes to the trie of its word only. The states of all places advance together, level by
+   level, in numpy; accepting states are added by ``bincount``, and the sums of all shards are added by
+   Spark. These are the counts that are used: what collisions let through falls out here.
 3. Scores. For each cut of a phrase into two parts, floor(2 * ``SCALE`` * a / (l + r)) with the counts
    a of the phrase and l, r of its parts, in decimals of 38 digits; the lowest cut counts. A phrase
    inside a longer one that stands nearly as often is dropped.
@@ -25,14 +26,16 @@ ordered by the bytes of the phrase.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import ascii_set, coded_words, mix, signed, slices, stored, text_bytes, words
+from .graph import run_bodies
 
 LONGEST, LEAST, TOP = 4, 30, 2000
 SCALE = 1_000_000
@@ -42,9 +45,13 @@ UNKNOWN = "und"
 #: Size of the bitmap of keys that may be frequent: 16 MB.
 BITS = 1 << 27
 #: Phrases in a trie: at most three nodes for each of their words, of 12 bytes.
-BLOCK = 1 << 18
+BLOCK = 1 << 20
+#: Phrases whose tries a task holds at once, about 60 bytes each; more phrases are more passes over the texts.
+AT_ONCE = 1 << 22
 #: Keys that a task holds before it hands on their counts.
 HELD = 1 << 21
+#: Buckets of keys, at least; a task sums up one at a time.
+BUCKETS = 1 << 12
 SLICE_BYTES = 1 << 21
 
 _BREAKS = ascii_set((0x0A, 0x0D)) | np.isin(np.arange(256), list(b".,;:!?"))
@@ -131,16 +138,24 @@ class Counts:
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-        packed, n = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(packed)
-        packed, n = packed[order], n[order]
-        first = _first(packed)
-        return packed[first], np.add.reduceat(n, first) if len(first) else n
+        return _summed(*(np.concatenate(x) for x in zip(*self.parts)))
 
-    def drain(self) -> pa.RecordBatch:
+    def drain(self, buckets: int) -> pa.RecordBatch:
+        """The sums, one row for each bucket of keys."""
         packed, n = self.sums()
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(signed(packed >> _SIX)), pa.array(signed(packed & _CLASS)), pa.array(n, pa.int64())], names=["key", "kind", "n"])
+        bucket = ((packed >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        used, at = np.unique(bucket, return_index=True)
+        bounds = np.append(at, len(packed))
+        return pa.RecordBatch.from_arrays([pa.array(used), run_bodies(packed, bounds), run_bodies(n, bounds)], names=["bucket", "keys", "sums"])
+
+
+def _summed(packed: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with its smallest class and its sum."""
+    order = np.argsort(packed)
+    packed, n = packed[order], n[order]
+    first = _first(packed)
+    return packed[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _first(packed: np.ndarray) -> np.ndarray:
@@ -149,7 +164,7 @@ def _first(packed: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), dtype=bool), keys[1:] != keys[:-1])))
 
 
-def _count_keys(sizes: range, hot: np.ndarray | None):
+def _count_keys(sizes: range, hot: np.ndarray | None, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts()
         for whole in batches:
@@ -157,8 +172,37 @@ def _count_keys(sizes: range, hot: np.ndarray | None):
                 text = Words(batch)
                 for size, at, keys in text.keys(sizes[-1], hot):
                     if size in sizes and counts.add(keys, text.kind[at]):
-                        yield counts.drain()
-        yield counts.drain()
+                        yield counts.drain(buckets)
+        yield counts.drain(buckets)
+
+    return run
+
+
+def _frequent(least: int):
+    """Rows sorted by bucket as a stream: the keys that reach ``least`` in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        last, size = None, 0
+
+        def done() -> pa.RecordBatch:
+            packed, n = _summed(*map(np.concatenate, zip(*held)))
+            packed = packed[n >= least]
+            return pa.RecordBatch.from_arrays([pa.array(signed(packed >> _SIX)), pa.array(signed(packed & _CLASS))], names=["key", "kind"])
+
+        for batch in batches:
+            keys, sums = batch.column(1), batch.column(2)
+            for k, bucket in enumerate(batch.column(0).to_pylist()):
+                if held and bucket != last:
+                    yield done()
+                    held, size = [], 0
+                held.append((np.frombuffer(keys[k].as_buffer(), dtype=np.uint64), np.frombuffer(sums[k].as_buffer(), dtype=np.int64)))
+                last, size = bucket, size + len(held[-1][0])
+                if size > 2 * HELD:
+                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                    size = 0  # until as many more have come
+        if held:
+            yield done()
 
     return run
 
@@ -186,9 +230,9 @@ def _list_phrases(pairs: np.ndarray, seen: np.ndarray):
 
 def frequent_keys(docs: DataFrame, sizes: range, hot: np.ndarray | None, least: int) -> DataFrame:
     """(key, kind): keys that may stand ``least`` times, with a class of texts that has each."""
-    counts = docs.mapInArrow(_count_keys(sizes, hot), "key long, kind long, n long")
-    sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.min("kind").alias("kind"))
-    return stored(sums.filter(F.col("n") >= least).select("key", "kind"), "phrase-keys")
+    buckets = max(BUCKETS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = docs.mapInArrow(_count_keys(sizes, hot, buckets), "bucket int, keys binary, sums binary")
+    return stored(counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_frequent(least), "key long, kind long"), "phrase-keys")
 
 
 def bitmap(numbers: DataFrame) -> np.ndarray:
@@ -214,14 +258,17 @@ def candidates(docs: DataFrame, least: int) -> DataFrame:
 
 
 class Trie:
-    """A double array: from state s, byte c leads to t = base[s] + c if check[t] == s."""
+    """A double array: from state s, byte c leads to t = base[s] + c if check[t] == s.
+
+    ``words``: all words of the phrases, and maybe others; their places number them.
+    """
 
-    def __init__(self, langs: pa.Array, phrases: pa.Array) -> None:
+    def __init__(self, langs: pa.Array, phrases: pa.Array, words: pa.Array | None = None) -> None:
         self.langs, self.phrases = langs, phrases
         self.roots = pc.unique(langs)
         split = pc.split_pattern(phrases, " ")
-        coded = split.flatten().dictionary_encode()
-        self.words, number = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.words = pc.unique(split.flatten()) if words is None else words
+        number = pc.index_in(split.flatten(), self.words).to_numpy().astype(np.int64)
         sizes = pc.list_value_length(split).to_numpy().astype(np.int64)
         begin = np.cumsum(sizes) - sizes
         node = pc.index_in(langs, self.roots).to_numpy().astype(np.int64)
@@ -289,12 +336,11 @@ class Trie:
             state, number, live = to[go], number[go], live[go]
         return live, state
 
-    def count(self, text: Words, counts: np.ndarray) -> None:
-        """Adds each phrase's occurrences."""
-        number = pc.index_in(text.distinct.cast(pa.large_string()), self.words).fill_null(-1).to_numpy().astype(np.int64)[text.codes]
-        root = pc.index_in(text.langs.cast(self.roots.type), self.roots).fill_null(-1).to_numpy()[text.lang]
-        at = np.flatnonzero(root >= 0)
-        state = self.roots_at[root[at]]
+    def count(self, text: Words, number: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+        """Adds each phrase's occurrences that start at the given places. ``number``: of each word, negative where it has none."""
+        root = pc.index_in(text.langs.cast(self.roots.type), self.roots).fill_null(-1).to_numpy()[text.lang[at]]
+        at, root = at[root >= 0], root[root >= 0]
+        state = self.roots_at[root]
         for depth in range(LONGEST):
             use = text.together(at, depth + 1)
             at, state = at[use], state[use]
@@ -306,16 +352,32 @@ class Trie:
                 break
 
 
-def _count_phrases(trie: Trie):
+def _block_of(phrase: Column, blocks: int) -> Column:
+    return F.pmod(F.crc32(F.substring_index(phrase, " ", 1).cast("binary")), F.lit(blocks))
+
+
+def _count_phrases(tries: dict[int, Trie], blocks: int):
+    """``tries`` by the numbers of their blocks; they share their words."""
+    words_ = next(iter(tries.values())).words
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(trie.phrases), dtype=np.int64)
+        counts = {k: np.zeros(len(trie.phrases), dtype=np.int64) for k, trie in tries.items()}
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 text = Words(batch)
-                if len(text.codes):
-                    trie.count(text, counts)
-        some = pa.array(np.flatnonzero(counts))
-        yield pa.RecordBatch.from_arrays([trie.langs.take(some).cast(pa.string()), trie.phrases.take(some).cast(pa.string()), pa.array(counts).take(some)], names=["lang", "phrase", "n"])
+                if not len(text.codes):
+                    continue
+                number = pc.index_in(text.distinct.cast(pa.large_string()), words_).fill_null(-1).to_numpy().astype(np.int64)[text.codes]
+                at = np.flatnonzero(number >= 0)
+                if blocks == 1:
+                    tries[0].count(text, number, at, counts[0])
+                    continue
+                own = np.array([zlib.crc32(x) % blocks for x in text.distinct.to_pylist()])[text.codes[at]]
+                for k, trie in tries.items():
+                    trie.count(text, number, at[own == k], counts[k])
+        for k, trie in tries.items():
+            some = pa.array(np.flatnonzero(counts[k]))
+            yield pa.RecordBatch.from_arrays([trie.langs.take(some).cast(pa.string()), trie.phrases.take(some).cast(pa.string()), pa.array(counts[k]).take(some)], names=["lang", "phrase", "n"])
 
     return run
 
@@ -323,8 +385,17 @@ def _count_phrases(trie: Trie):
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", SLICE_BYTES):
-            text = Words(batch)
-            yield pa.RecordBatch.from_arrays([text.langs.cast(pa.string()), pa.array(np.bincount(text.lang, minlength=len(text.langs)).astype(np.int64))], names=["lang", "n"])
+            data, bounds = text_bytes(batch.column(batch.schema.get_field_index("text")))
+            inside = _LETTERS[data]
+            first = inside.copy()
+            first[1:] &= ~inside[:-1]
+            begin = bounds[:-1][bounds[:-1] < len(data)]
+            first[begin] = inside[begin]
+            before = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(first)))[bounds]
+            langs = pc.dictionary_encode(batch.column(batch.schema.get_field_index("lang")).fill_null(UNKNOWN))
+            n = np.zeros(len(langs.dictionary), dtype=np.int64)
+            np.add.at(n, langs.indices.to_numpy(), np.diff(before))
+            yield pa.RecordBatch.from_arrays([langs.dictionary.cast(pa.string()), pa.array(n)], names=["lang", "n"])
 
 
 def _inputs(docs: DataFrame) -> DataFrame:
@@ -336,14 +407,19 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> Da
     docs = _inputs(docs)
     listed = candidates(docs, least)
     blocks = max(1, -(-listed.count() // block))
-    number = F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks))
-    parts = []
-    for k in range(blocks):
-        rows = listed.filter(number == k).toArrow()
-        if not rows.num_rows:
+    number = _block_of(F.col("phrase"), blocks)
+    parts, together = [], max(1, AT_ONCE // block)
+    for k in range(0, blocks, together):
+        rows = {}
+        for own in range(k, min(k + together, blocks)):
+            found = listed.filter(number == own).toArrow()
+            if found.num_rows:
+                rows[own] = [found[c].combine_chunks().cast(pa.large_string()) for c in ("lang", "phrase")]
+        if not rows:
             continue
-        trie = Trie(rows["lang"].combine_chunks().cast(pa.large_string()), rows["phrase"].combine_chunks().cast(pa.large_string()))
-        sums = docs.mapInArrow(_count_phrases(trie), "lang string, phrase string, n long")
+        words_ = pc.unique(pa.chunked_array([pc.unique(pc.split_pattern(phrases, " ").flatten()) for _, phrases in rows.values()]))
+        tries = {own: Trie(*row, words_) for own, row in rows.items()}
+        sums = docs.mapInArrow(_count_phrases(tries, blocks), "lang string, phrase string, n long")
         parts.append(stored(sums.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "phrase-counts"))
     if not parts:
         return listed.select("lang", "phrase", F.lit(None).cast("long").alias("a"))  # no rows

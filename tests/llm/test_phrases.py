@@ -63,6 +63,29 @@ def test_against_brute_force(spark, monkeypatch, seed, top, block):
     assert sorted(got) == brute(docs, 6, top)
 
 
+@pytest.mark.parametrize("at_once,passes", [(1 << 22, 1), (18, None)])
+def test_blocks_share_a_pass(spark, monkeypatch, at_once, passes):
+    monkeypatch.setattr(phrases, "AT_ONCE", at_once)
+    names = []
+    monkeypatch.setattr(phrases, "stored", lambda df, name, f=phrases.stored: (names.append(name), f(df, name))[1])
+    docs = corpus(6)
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(3)
+    monkeypatch.setattr(phrases, "phrase_counts", lambda d, least, f=phrases.phrase_counts: f(d, least, 9))
+    got = [tuple(r) for r in phrases.collocations(df, 2000, 6).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()]
+    assert sorted(got) == brute(docs, 6, 2000)
+    n = names.count("phrase-counts")
+    assert n == passes if passes else n > 1
+
+
+def test_keys_are_summed_over_drains(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 64)
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 300)
+    docs = corpus(7)
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(3)
+    got = [tuple(r) for r in phrases.collocations(df, 2000, 6).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()]
+    assert sorted(got) == brute(docs, 6, 2000)
+
+
 def test_collisions_only_add_candidates(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BITS", 64)
     docs = corpus(4)
