@@ -133,6 +133,13 @@ def test_components_against_brute_force(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+def test_links_of_repeated_ids_come_once():
+    keys, ids = np.array([7, 7, 7, 9, 7, 9], dtype=np.uint64), np.array([3, 5, 5, 1, 3, 2])
+    key, a, b = graph._by_key(keys, ids)[2:]
+    assert sorted(zip(key.tolist(), a.tolist(), b.tolist())) == [(7, 3, 5), (9, 1, 2)]
+    assert all(len(x) == 0 for x in graph._by_key(keys[:0], ids[:0]))
+
+
 def test_key_stars_connect_all_ids_of_a_key(spark):
     rows = [(i, [7, 100 + i % 5, 1000 + i]) for i in range(300)] + [(1, [7])]
     df = spark.createDataFrame(rows, "id long, keys array<long>").repartition(7)
